@@ -217,7 +217,7 @@ def _with_validity(df: DataFrame, code: Column) -> DataFrame:
 
 def error_report(
     entities: DataFrame,
-    items: DataFrame,
+    items_v: DataFrame,
     batches: DataFrame,
     transactions_v: DataFrame,
     strict_type: bool = False,
@@ -225,15 +225,19 @@ def error_report(
     """All rule hits in one frame (table_id, table_name, error_code, error_message).
 
     A distinct union: an entity reported by both entity rules appears once.
-    The batch rule reads the transactions' current validity.
+    The item and transaction hits are read off the cascaded tables (their own
+    rule takes precedence there), so the duplicate search is not run twice;
+    the batch rule reads the transactions' current validity.
     """
+    own_items = items_v.filter(F.col("validation_error").isin(ITEM_NO_NAME, ITEM_NO_COST))
+    own_txns = transactions_v.filter(F.col("validation_error").isin(TXN_DUPLICATE, TXN_NO_PERCENT))
     parts = [
         bad_batches(batches, transactions_v).select(F.col("batch_id").alias("table_id"), F.lit("Batches").alias("table_name"), "error_code"),
         bad_customers(entities, strict_type).select(F.col("entity_id").alias("table_id"), F.lit("Entity").alias("table_name"), "error_code"),
         bad_suppliers(entities, strict_type).select(F.col("entity_id").alias("table_id"), F.lit("Entity").alias("table_name"), "error_code"),
-        bad_items(items).select(F.col("item_id").alias("table_id"), F.lit("Items").alias("table_name"), "error_code"),
-        bad_transactions(transactions_v.drop("is_valid", "validation_error")).select(
-            F.col("transaction_id").alias("table_id"), F.lit("Transactions").alias("table_name"), "error_code"
+        own_items.select(F.col("item_id").alias("table_id"), F.lit("Items").alias("table_name"), F.col("validation_error").alias("error_code")),
+        own_txns.select(
+            F.col("transaction_id").alias("table_id"), F.lit("Transactions").alias("table_name"), F.col("validation_error").alias("error_code")
         ),
     ]
     out = parts[0]

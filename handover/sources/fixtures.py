@@ -127,27 +127,30 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = int_div(F.lit(100), n)
     rn = rid - F.col("first_rid") + 1
     share = base + F.when(rn == 1, F.lit(100) - n * base).otherwise(F.lit(0))
-    common = [
+    original_amount = (
+        F.when(rid % 101 == 0, F.lit("bad%"))
+        .when(rid % 103 == 0, F.lit("33.5%"))
+        .otherwise(F.concat(share.cast("string"), F.lit("%")))
+    )
+    copy_amount = F.concat(base.cast("string"), F.lit("%"))
+    # Each line yields itself and, for every 97th, an injected duplicate: one
+    # pass with a generator instead of a union that would run the join twice.
+    versions = F.when(
+        rid % 97 == 0,
+        F.array(
+            F.struct(rid.alias("transaction_id"), original_amount.alias("amount")),
+            F.struct((rid + DUPLICATE_ID_BASE).alias("transaction_id"), copy_amount.alias("amount")),
+        ),
+    ).otherwise(F.array(F.struct(rid.alias("transaction_id"), original_amount.alias("amount"))))
+    out = t.select(
+        F.inline(versions),
         (F.col("l_orderkey") + 1).alias("batch_ref"),
         F.when(F.col("l_partkey") % 90 == 1, _lit_null("bigint")).otherwise(F.col("l_partkey") + 1).alias("item_ref"),
         (F.col("l_suppkey") + SUPPLIER_ID_BASE).alias("partner_ref"),
         F.col("l_quantity").cast("int").alias("qty"),
         epoch_millis("l_shipdate").alias("date_key"),
-    ]
-    originals = t.select(
-        rid.alias("transaction_id"),
-        *common,
-        F.when(rid % 101 == 0, F.lit("bad%"))
-        .when(rid % 103 == 0, F.lit("33.5%"))
-        .otherwise(F.concat(share.cast("string"), F.lit("%")))
-        .alias("amount"),
-    )
-    copies = t.filter(rid % 97 == 0).select(
-        (rid + DUPLICATE_ID_BASE).alias("transaction_id"),
-        *common,
-        F.concat(base.cast("string"), F.lit("%")).alias("amount"),
     )
-    return conform(originals.unionByName(copies), SOURCE_SCHEMAS["transactions"], "transactions")
+    return conform(out, SOURCE_SCHEMAS["transactions"], "transactions")
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
