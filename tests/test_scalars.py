@@ -1,0 +1,62 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from handover.functions import scalars as S
+
+
+def _one(spark, col, values, schema="x string"):
+    df = spark.createDataFrame([(v,) for v in values], schema)
+    return [r[0] for r in df.select(col).collect()]
+
+
+def test_parse_money(spark):
+    vals = ["$12.50", "", "   ", None, "n/a", "$", "-5", "1,234.50", "1e3", "12.34567", " 12 "]
+    got = _one(spark, S.parse_money("x", "$"), vals)
+    assert got == [
+        Decimal("12.5000"), None, None, None, None, None, Decimal("-5.0000"),
+        Decimal("1234.5000"), None, Decimal("12.3457"), Decimal("12.0000"),
+    ]
+
+
+def test_parse_money_total_mark(spark):
+    assert _one(spark, S.parse_money("x", "USD"), ["USD 1234.56", "unknown"]) == [Decimal("1234.5600"), None]
+
+
+def test_parse_percent(spark):
+    vals = ["40%", "33.5%", "bad%", None]
+    assert _one(spark, S.parse_percent_int("x"), vals) == [40, None, None, None]
+    assert _one(spark, S.parse_money("x", "%"), vals) == [Decimal("40.0000"), Decimal("33.5000"), None, None]
+
+
+def test_customer_code(spark):
+    vals = [None, "", "   ", "Acme", "  Acme", "acme corp", "Ärger GmbH"]
+    got = _one(spark, S.customer_code("x"), vals)
+    assert got[:3] == [None, None, None]
+    assert got[3] == "A693C"            # UTF-16LE SHA-1, not UTF-8
+    assert got[4] == "A693C"            # leading blanks are trimmed first
+    assert got[5][0] == "A" and len(got[5]) == 5
+    assert len(got[6]) == 5 and got[6][0] == "Ä"
+
+
+def test_epoch_digits(spark):
+    got = _one(spark, S.epoch_digits_to_ts("x"), [1714521600, 1714521600123], "x long")
+    assert got == [dt.datetime(2024, 5, 1), dt.datetime(2024, 5, 1)]
+
+
+def test_shift_years(spark):
+    df = spark.createDataFrame([("1996-02-29 10:11:12",), (None,)], "x string").select(F.col("x").cast("timestamp_ntz").alias("x"))
+    got = [r[0] for r in df.select(S.shift_years("x", 26)).collect()]
+    assert got == [dt.datetime(2022, 2, 28, 10, 11, 12), None]
+
+
+def test_round_half_up_div(spark):
+    df = spark.createDataFrame([(5, 10), (15, 10), (14, 10), (-15, 10), (-14, 10), (0, 3)], "n long, d long")
+    got = [r[0] for r in df.select(S.round_half_up_div(F.col("n"), F.col("d"))).collect()]
+    assert got == [1, 2, 1, -2, -1, 0]
+
+
+def test_json_object(spark):
+    df = spark.createDataFrame([("ABCDE", 5)], "c string, i int")
+    assert df.select(S.json_object(customer_id="c", entity_id="i")).first()[0] == '{"customer_id":"ABCDE","entity_id":5}'
