@@ -97,16 +97,32 @@ def loyal_customers(
     count_orders: bool = False,
 ) -> DataFrame:
     """Per loyal customer: integer average of monthly counts over months with
-    orders, and the distinct products ordered."""
-    cwo = customers_with_orders(orders, order_details, customers, as_of, min_orders)
-    cmo = customer_month_orders(orders, order_details, customers, as_of, min_orders, count_orders)
-    return (
-        cmo.join(cwo, "customer_id", "inner")
-        .groupBy("customer_id", "company_name")
+    orders, and the distinct products ordered.
+
+    The source chains four steps (window, customers with >= 5 orders, monthly
+    counts, average). The average of the monthly counts over the active months
+    is (all counted rows) div (number of active months), so the whole report
+    is one join and one aggregate per customer: the order lines are read once
+    and never grouped twice.
+    """
+    lines = _window_lines(orders, order_details, as_of)
+    month = F.year("order_date") * 100 + F.month("order_date")
+    counted = F.countDistinct("order_id") if count_orders else F.count("order_id")
+    per_customer = (
+        lines.groupBy("customer_id")
         .agg(
-            int_div(F.sum("order_count"), F.count("order_count")).alias("avg_orders_per_month"),
-            F.max("distinct_product_count").alias("distinct_products"),
+            counted.alias("n_counted"),
+            F.countDistinct(month).alias("n_months"),
+            F.countDistinct(F.when(F.col("product_id").isNotNull(), F.col("order_id"))).alias("n_orders"),
+            F.countDistinct("product_id").alias("distinct_products"),
         )
+        .filter(F.col("n_orders") >= min_orders)
+    )
+    return per_customer.join(customers.select("customer_id", "company_name"), "customer_id", "inner").select(
+        "customer_id",
+        "company_name",
+        int_div(F.col("n_counted"), F.col("n_months")).alias("avg_orders_per_month"),
+        "distinct_products",
     )
 
 

@@ -168,14 +168,26 @@ def validate_batches(
 def _with_survivor(transactions: DataFrame, keys=DUP_KEYS) -> DataFrame:
     """Each row with the lowest transaction id of its duplicate group.
 
-    The group minimum is an aggregate (partial per map task), joined back
-    null-safely; AQE splits a hot group on the large side of the join.
+    Only groups with more than one row are kept from the aggregate (partial
+    per map task, so a hot group is combined before the shuffle). That frame
+    is usually small, and AQE broadcasts it once its measured size is under
+    the threshold, so the large side is not shuffled for the join; with many
+    duplicates it stays a sort-merge join and AQE splits skewed partitions.
+    Keys are matched null-safely (nulls group together, as in SQL).
     """
     keys = list(keys)
-    surv = transactions.groupBy(*keys).agg(F.min("transaction_id").alias("survivor_id"))
-    surv = surv.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "survivor_id")
-    cond = [transactions[k].eqNullSafe(surv[f"__s_{k}"]) for k in keys]
-    return transactions.join(surv, cond, "inner").drop(*[f"__s_{k}" for k in keys])
+    groups = (
+        transactions.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("transaction_id").alias("__first"))
+        .filter(F.col("__n") > 1)
+        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__first")
+    )
+    cond = [transactions[k].eqNullSafe(groups[f"__s_{k}"]) for k in keys]
+    return (
+        transactions.join(groups, cond, "left")
+        .withColumn("survivor_id", F.coalesce(F.col("__first"), F.col("transaction_id")))
+        .drop("__first", *[f"__s_{k}" for k in keys])
+    )
 
 
 def duplicate_transactions(transactions: DataFrame, keys=DUP_KEYS) -> DataFrame:

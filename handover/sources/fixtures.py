@@ -20,6 +20,7 @@ from handover.functions.scalars import (
     shift_years,
 )
 from handover.operators.keys import with_row_index
+from handover.session import scratch_path
 from handover.schemas import SOURCE_SCHEMAS
 from handover.sources.tables import conform, read_table
 
@@ -113,7 +114,7 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     cols = sorted(set(LINE_ORDER))
     li = read_table(spark, sf_dir, "lineitem").select(*cols)
     numbered = with_row_index(li, LINE_ORDER, "rid")
@@ -150,7 +151,15 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("qty"),
         epoch_millis("l_shipdate").alias("date_key"),
     )
-    return conform(out, SOURCE_SCHEMAS["transactions"], "transactions")
+    staged = conform(out, SOURCE_SCHEMAS["transactions"], "transactions")
+    if not materialize:
+        return staged
+    # Staging is a physical table in the source system; writing it once means
+    # every later rule reads a plain, column-pruned scan instead of repeating
+    # the numbering joins.
+    path = scratch_path(spark, "staged-transactions")
+    staged.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
