@@ -169,6 +169,15 @@ def q_load_order_details_lineage(spark, d):
     return _migration(spark, d)["order_detail_lineage"]
 
 
+def q_customer_code_collisions(spark, d):
+    return _migration(spark, d)["customer_code_collisions"]
+
+
+def q_orders_quarantined(spark, d):
+    q = _migration(spark, d)["orders_quarantined"]
+    return q.select("batch_id", "order_date", "customer_id")
+
+
 def q_insert_log_customers(spark, d):
     return L.lineage(_migration(spark, d)["customers_inserted"], L.CUSTOMERS, RUN_AS_OF)
 

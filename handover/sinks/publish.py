@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from handover.functions.scalars import ntz_lit
 
 RUNS = "_runs"
+RUN_LOG = "_run_log"
 
 
 def write_table(df: DataFrame, root: str, table: str, run_id: str) -> None:
@@ -28,16 +29,29 @@ def publish_run(
     root: str,
     run_id: str,
     finished_at: dt.datetime,
-) -> None:
-    """Write every output, then mark the run complete (the commit point)."""
+) -> dict[str, int]:
+    """Write every output, then mark the run complete (the commit point).
+
+    Row counts are taken while writing (``DataFrame.observe``: no second pass)
+    and logged to ``_run_log``; they are returned as well.
+    """
+    counts: dict[str, int] = {}
     for table, df in outputs.items():
-        write_table(df, root, table, run_id)
+        obs = Observation(f"rows_{table}")
+        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, table, run_id)
+        counts[table] = int(obs.get["rows"])
+    base = root.rstrip("/")
+    log = spark.createDataFrame(
+        [(run_id, t, n) for t, n in counts.items()], "run_id string, table_name string, row_count long"
+    ).withColumn("logged_at", ntz_lit(finished_at))
+    log.write.mode("append").parquet(f"{base}/{RUN_LOG}")
     marker = spark.range(1).select(
         F.lit(run_id).alias("run_id"),
         ntz_lit(finished_at).alias("finished_at"),
         F.lit(",".join(sorted(outputs))).alias("tables"),
     )
-    marker.write.mode("append").parquet(f"{root.rstrip('/')}/{RUNS}")
+    marker.write.mode("append").parquet(f"{base}/{RUNS}")
+    return counts
 
 
 def completed_runs(spark: SparkSession, root: str) -> DataFrame:
