@@ -8,6 +8,8 @@ with them and runs distributed.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from handover.functions.scalars import (
     shift_years,
 )
 from handover.operators.keys import with_row_index
-from handover.session import scratch_path
+from handover.session import ensure_checkpoint_dir, scratch_path
 from handover.schemas import SOURCE_SCHEMAS
 from handover.sources.tables import conform, read_table
 
@@ -114,7 +116,7 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
 
-def transactions(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+def _derive_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = sorted(set(LINE_ORDER))
     li = read_table(spark, sf_dir, "lineitem").select(*cols)
     numbered = with_row_index(li, LINE_ORDER, "rid")
@@ -151,25 +153,49 @@ def transactions(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
         F.col("l_quantity").cast("int").alias("qty"),
         epoch_millis("l_shipdate").alias("date_key"),
     )
-    staged = conform(out, SOURCE_SCHEMAS["transactions"], "transactions")
+    return conform(out, SOURCE_SCHEMAS["transactions"], "transactions")
+
+
+# Staged tables written in this session: (checkpoint dir, source fingerprint) -> path.
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def _fingerprint(sf_dir: str, table: str) -> str:
+    path = os.path.join(os.path.abspath(sf_dir), f"{table}.parquet")
+    try:
+        st = os.stat(path)
+        return f"{path}|{st.st_size}|{st.st_mtime_ns}"
+    except OSError:  # not a local path: key on the name only
+        return path
+
+
+def transactions(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """Staged transactions, extracted once per session into the shared folder.
+
+    Staging is a physical table in the source system: it is extracted once
+    and every rule and load reads it. Writing it once means later steps read
+    a plain, column-pruned scan instead of repeating the numbering joins.
+    """
     if not materialize:
-        return staged
-    # Staging is a physical table in the source system; writing it once means
-    # every later rule reads a plain, column-pruned scan instead of repeating
-    # the numbering joins.
-    path = scratch_path(spark, "staged-transactions")
-    staged.write.parquet(path)
+        return _derive_transactions(spark, sf_dir)
+    key = (ensure_checkpoint_dir(spark), _fingerprint(sf_dir, "lineitem"))
+    path = _STAGED.get(key)
+    if path is None:
+        path = scratch_path(spark, "staged-transactions")
+        _derive_transactions(spark, sf_dir).write.parquet(path)
+        _STAGED[key] = path
     return spark.read.parquet(path)
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five legacy tables, keyed by name."""
+def sources(spark: SparkSession, sf_dir: str, reuse_staged: bool = True) -> dict[str, DataFrame]:
+    """The five legacy tables, keyed by name (``reuse_staged=False``: derive
+    the transactions again instead of reading this session's staged copy)."""
     return {
         "locations": locations(spark, sf_dir),
         "entities": entities(spark, sf_dir),
         "items": items(spark, sf_dir),
         "batches": batches(spark, sf_dir),
-        "transactions": transactions(spark, sf_dir),
+        "transactions": transactions(spark, sf_dir, materialize=reuse_staged),
     }
 
 
