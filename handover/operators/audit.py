@@ -37,14 +37,15 @@ def audit_diff(
     after: DataFrame,
     keys: list[str],
     table_name: str,
-    change_date: dt.datetime,
-    changed_by: str,
+    change_date: dt.datetime | None = None,
+    changed_by: str | None = None,
 ) -> DataFrame:
     """Changes between two snapshots: (table_name, operation, key_values,
     old_values, new_values, change_date, changed_by, <key columns>).
 
     An update is logged only when some column differs (null-safe); a
-    snapshot diff cannot see updates that change nothing.
+    snapshot diff cannot see updates that change nothing. Without
+    ``change_date``/``changed_by`` the session's time and user are written.
     """
     cols = before.columns
     b = before.select(F.struct(*cols).alias("__b"), *[F.col(k).alias(f"__bk_{k}") for k in keys])
@@ -64,8 +65,8 @@ def audit_diff(
         _key_json(key_src, keys).alias("key_values"),
         F.when(F.col("operation") != F.lit(INSERT), _image(F.col("__b"))).alias("old_values"),
         F.when(F.col("operation") != F.lit(DELETE), _image(F.col("__a"))).alias("new_values"),
-        ntz_lit(change_date).alias("change_date"),
-        F.lit(changed_by).alias("changed_by"),
+        (ntz_lit(change_date) if change_date else F.localtimestamp()).alias("change_date"),
+        (F.lit(changed_by) if changed_by else F.current_user()).alias("changed_by"),
         *[key_src[k].alias(k) for k in keys],
     )
 

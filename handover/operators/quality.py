@@ -86,7 +86,27 @@ def staging_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def enforce(violations: DataFrame, mode: str = "fail") -> None:
-    """``mode="fail"``: raise before anything is written if any breach exists."""
-    if mode == "fail" and violations.limit(1).count() > 0:
-        raise ValueError("constraint violations found; nothing written")
+class ConstraintViolation(ValueError):
+    pass
+
+
+def enforce(df: DataFrame, violations: DataFrame, key: str, mode: str = "fail") -> dict[str, DataFrame]:
+    """Apply the constraint report to ``df`` before it is written.
+
+    ``mode="fail"``: raise if any breach exists (an existence probe, not a
+    collect), as a failing statement aborts the source run.
+    ``mode="quarantine"``: split the rows whose key has a breach from the
+    clean rows (a left semi/anti join on the key).
+    """
+    if mode == "fail":
+        if violations.limit(1).count() > 0:
+            raise ConstraintViolation("constraint violations found; nothing written")
+        return {"clean": df, "quarantined": df.limit(0)}
+    if mode != "quarantine":
+        raise ValueError(f"mode: {mode!r}")
+    keys = violations.select(F.col("key_value").alias("__k")).distinct()
+    k = F.col(key).cast("string")
+    return {
+        "clean": df.join(keys, k == F.col("__k"), "left_anti"),
+        "quarantined": df.join(keys, k == F.col("__k"), "left_semi"),
+    }
