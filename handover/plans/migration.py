@@ -10,6 +10,7 @@ complete last.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,71 +46,117 @@ def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+class _Outputs(Mapping):
+    """Read-only mapping whose values are built on first access, once.
+
+    Keyed loads write their numbering to the scratch folder when built, so a
+    caller asking only for the customer load does not number suppliers,
+    products and orders.
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._built:
+            self._built[key] = self._builders[key]()
+        return self._built[key]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def migrate(
     spark: SparkSession,
     sources: dict[str, DataFrame],
     targets: dict[str, DataFrame],
     options: MigrationOptions | None = None,
-) -> dict[str, DataFrame]:
-    """All migration outputs as DataFrames.
+) -> Mapping[str, DataFrame]:
+    """All migration outputs, as a mapping of DataFrames built on demand.
 
     ``sources``: locations, entities, items, batches, transactions (legacy).
     ``targets``: customers, suppliers (existing rows); products/orders optional.
     """
     o = options or MigrationOptions()
     keep = (lambda df, name: _materialize(spark, df, name)) if o.materialize else (lambda df, name: df)
-
-    staged = {k: with_quality_columns(v, o.as_of) for k, v in sources.items()}
-    v = validate_all(staged, o.strict_type, o.enforce_batch_rules)
-    v = {k: keep(df, f"validated-{k}") for k, df in v.items()}
-
-    cust = load_customers(v["entities"], v["locations"], targets["customers"])
-    cust_ins = keep(cust["inserted"], "customers-inserted")
-    customers_all = targets["customers"].unionByName(
-        cust_ins.withColumn("contact_name", F.lit(None).cast("string")).select(*targets["customers"].columns)
+    step: dict[str, object] = {}
+
+    def once(name: str, fn: Callable[[], object]):
+        def get():
+            if name not in step:
+                step[name] = fn()
+            return step[name]
+
+        return get
+
+    def _validated():
+        staged = {k: with_quality_columns(v, o.as_of) for k, v in sources.items()}
+        v = validate_all(staged, o.strict_type, o.enforce_batch_rules)
+        return {k: keep(df, f"validated-{k}") for k, df in v.items()}
+
+    validated = once("validated", _validated)
+    cust = once("cust", lambda: load_customers(validated()["entities"], validated()["locations"], targets["customers"]))
+    cust_ins = once("cust_ins", lambda: keep(cust()["inserted"], "customers-inserted"))
+
+    def _customers_all():
+        cols = targets["customers"].columns
+        return targets["customers"].unionByName(cust_ins().withColumn("contact_name", F.lit(None).cast("string")).select(*cols))
+
+    customers_all = once("customers_all", _customers_all)
+    sup = once("sup", lambda: load_suppliers(validated()["entities"], validated()["locations"], targets["suppliers"]))
+    sup_ins = once("sup_ins", lambda: keep(sup()["inserted"], "suppliers-inserted"))
+    suppliers_all = once(
+        "suppliers_all",
+        lambda: targets["suppliers"].unionByName(sup_ins().select(*targets["suppliers"].columns)),
+    )
+    prod = once("prod", lambda: load_products(validated()["items"], validated()["entities"], suppliers_all(), targets.get("products")))
+    prod_ins = once("prod_ins", lambda: keep(prod()["inserted"], "products-inserted"))
+    orders = once(
+        "orders",
+        lambda: load_orders(validated()["batches"], validated()["entities"], customers_all(), targets.get("orders"), o.on_bad_total),
+    )
+    ord_ins = once("ord_ins", lambda: keep(orders()["inserted"], "orders-inserted"))
+    lines = once("lines", lambda: load_order_details(validated()["transactions"], validated()["items"], prod_ins(), ord_ins()))
+    line_lineage = once(
+        "line_lineage", lambda: order_detail_lineage(validated()["transactions"], validated()["items"], prod_ins(), ord_ins())
     )
 
-    sup = load_suppliers(v["entities"], v["locations"], targets["suppliers"])
-    sup_ins = keep(sup["inserted"], "suppliers-inserted")
-    suppliers_all = targets["suppliers"].unionByName(sup_ins.select(*targets["suppliers"].columns))
-
-    prod = load_products(v["items"], v["entities"], suppliers_all, targets.get("products"))
-    prod_ins = keep(prod["inserted"], "products-inserted")
-
-    orders = load_orders(v["batches"], v["entities"], customers_all, targets.get("orders"), o.on_bad_total)
-    ord_ins = keep(orders["inserted"], "orders-inserted")
-
-    lines = load_order_details(v["transactions"], v["items"], prod_ins, ord_ins)
-    line_lineage = order_detail_lineage(v["transactions"], v["items"], prod_ins, ord_ins)
-
-    log = lin.insert_log(
+    def _log():
+        return lin.insert_log(
+            {
+                lin.CUSTOMERS: cust_ins(),
+                lin.SUPPLIERS: sup_ins(),
+                lin.PRODUCTS: prod_ins(),
+                lin.ORDERS: ord_ins(),
+                lin.ORDER_DETAILS: line_lineage(),
+            },
+            o.as_of,
+        )
+
+    return _Outputs(
         {
-            lin.CUSTOMERS: cust_ins,
-            lin.SUPPLIERS: sup_ins,
-            lin.PRODUCTS: prod_ins,
-            lin.ORDERS: ord_ins,
-            lin.ORDER_DETAILS: line_lineage,
-        },
-        o.as_of,
+            "validated_locations": lambda: validated()["locations"],
+            "validated_entities": lambda: validated()["entities"],
+            "validated_items": lambda: validated()["items"],
+            "validated_batches": lambda: validated()["batches"],
+            "validated_transactions": lambda: validated()["transactions"],
+            "customers_inserted": cust_ins,
+            "customer_code_collisions": lambda: cust()["collisions"],
+            "suppliers_inserted": sup_ins,
+            "products_inserted": prod_ins,
+            "orders_inserted": ord_ins,
+            "orders_quarantined": lambda: orders()["quarantined"],
+            "orders_candidates": lambda: orders()["candidates"],
+            "order_details_inserted": lambda: lines()["inserted"],
+            "order_details_quarantined": lambda: lines()["quarantined"],
+            "order_detail_lineage": line_lineage,
+            "insert_log": once("log", _log),
+        }
     )
-    return {
-        "validated_locations": v["locations"],
-        "validated_entities": v["entities"],
-        "validated_items": v["items"],
-        "validated_batches": v["batches"],
-        "validated_transactions": v["transactions"],
-        "customers_inserted": cust_ins,
-        "customer_code_collisions": cust["collisions"],
-        "suppliers_inserted": sup_ins,
-        "products_inserted": prod_ins,
-        "orders_inserted": ord_ins,
-        "orders_quarantined": orders["quarantined"],
-        "orders_candidates": orders["candidates"],
-        "order_details_inserted": lines["inserted"],
-        "order_details_quarantined": lines["quarantined"],
-        "order_detail_lineage": line_lineage,
-        "insert_log": log,
-    }
 
 
 def run_migration(
@@ -126,5 +173,5 @@ def run_migration(
     o = options or MigrationOptions()
     o.materialize = True
     out = migrate(spark, sources, targets, o)
-    publish_run(spark, out, root, run_id, o.as_of)
+    publish_run(spark, dict(out), root, run_id, o.as_of)
     return out
