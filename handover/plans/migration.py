@@ -13,7 +13,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from handover.operators import lineage as lin
@@ -28,6 +28,7 @@ from handover.operators.load import (
 from handover.operators.quality import with_quality_columns
 from handover.operators.validate import validate_all
 from handover.session import scratch_path
+from handover.sinks.publish import publish_run, table_path, write_table
 
 
 @dataclass
@@ -36,11 +37,24 @@ class MigrationOptions:
     strict_type: bool = False          # entity rules as intended, not as the source's precedence
     enforce_batch_rules: bool = False  # apply the batch percent rule in the cascade
     on_bad_total: str = "quarantine"   # or "fail"
-    materialize: bool = False          # write intermediate tables to the scratch folder
+    materialize: bool = False          # write intermediate tables once, then read them back
+    publish_root: str | None = None    # write them straight into this run's published location
+    run_id: str | None = None
     extra: dict = field(default_factory=dict)
 
 
-def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _materialize(spark: SparkSession, df: DataFrame, name: str, o: "MigrationOptions", written: dict[str, int]) -> DataFrame:
+    """Write ``df`` once and read it back (cuts lineage, fixes generated keys).
+
+    With a publish root the copy goes straight to the run's partition of the
+    published table, so publishing does not write it a second time; the row
+    count is observed during the write.
+    """
+    if o.publish_root and o.run_id:
+        obs = Observation(f"rows_{name}")
+        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), o.publish_root, name, o.run_id)
+        written[name] = int(obs.get["rows"])
+        return spark.read.parquet(table_path(o.publish_root, name, o.run_id))
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -54,7 +68,8 @@ class _Outputs(Mapping):
     products and orders.
     """
 
-    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+    def __init__(self, written: dict[str, int], builders: dict[str, Callable[[], DataFrame]]):
+        self.written = written  # outputs already written to the publish root, with row counts
         self._builders = builders
         self._built: dict[str, DataFrame] = {}
 
@@ -82,7 +97,8 @@ def migrate(
     ``targets``: customers, suppliers (existing rows); products/orders optional.
     """
     o = options or MigrationOptions()
-    keep = (lambda df, name: _materialize(spark, df, name)) if o.materialize else (lambda df, name: df)
+    written: dict[str, int] = {}
+    keep = (lambda df, name: _materialize(spark, df, name, o, written)) if o.materialize else (lambda df, name: df)
     step: dict[str, object] = {}
 
     def once(name: str, fn: Callable[[], object]):
@@ -96,11 +112,11 @@ def migrate(
     def _validated():
         staged = {k: with_quality_columns(v, o.as_of) for k, v in sources.items()}
         v = validate_all(staged, o.strict_type, o.enforce_batch_rules)
-        return {k: keep(df, f"validated-{k}") for k, df in v.items()}
+        return {k: keep(df, f"validated_{k}") for k, df in v.items()}
 
     validated = once("validated", _validated)
     cust = once("cust", lambda: load_customers(validated()["entities"], validated()["locations"], targets["customers"]))
-    cust_ins = once("cust_ins", lambda: keep(cust()["inserted"], "customers-inserted"))
+    cust_ins = once("cust_ins", lambda: keep(cust()["inserted"], "customers_inserted"))
 
     def _customers_all():
         cols = targets["customers"].columns
@@ -108,18 +124,18 @@ def migrate(
 
     customers_all = once("customers_all", _customers_all)
     sup = once("sup", lambda: load_suppliers(validated()["entities"], validated()["locations"], targets["suppliers"]))
-    sup_ins = once("sup_ins", lambda: keep(sup()["inserted"], "suppliers-inserted"))
+    sup_ins = once("sup_ins", lambda: keep(sup()["inserted"], "suppliers_inserted"))
     suppliers_all = once(
         "suppliers_all",
         lambda: targets["suppliers"].unionByName(sup_ins().select(*targets["suppliers"].columns)),
     )
     prod = once("prod", lambda: load_products(validated()["items"], validated()["entities"], suppliers_all(), targets.get("products")))
-    prod_ins = once("prod_ins", lambda: keep(prod()["inserted"], "products-inserted"))
+    prod_ins = once("prod_ins", lambda: keep(prod()["inserted"], "products_inserted"))
     orders = once(
         "orders",
         lambda: load_orders(validated()["batches"], validated()["entities"], customers_all(), targets.get("orders"), o.on_bad_total),
     )
-    ord_ins = once("ord_ins", lambda: keep(orders()["inserted"], "orders-inserted"))
+    ord_ins = once("ord_ins", lambda: keep(orders()["inserted"], "orders_inserted"))
     lines = once("lines", lambda: load_order_details(validated()["transactions"], validated()["items"], prod_ins(), ord_ins()))
     line_lineage = once(
         "line_lineage", lambda: order_detail_lineage(validated()["transactions"], validated()["items"], prod_ins(), ord_ins())
@@ -138,6 +154,7 @@ def migrate(
         )
 
     return _Outputs(
+        written,
         {
             "validated_locations": lambda: validated()["locations"],
             "validated_entities": lambda: validated()["entities"],
@@ -166,12 +183,12 @@ def run_migration(
     root: str,
     run_id: str,
     options: MigrationOptions | None = None,
-) -> dict[str, DataFrame]:
-    """Migrate with intermediate tables materialised, then publish atomically."""
-    from handover.sinks.publish import publish_run
-
+) -> Mapping[str, DataFrame]:
+    """Migrate with validated and keyed tables written once, straight into the
+    run's published location, then publish the rest and commit the run."""
     o = options or MigrationOptions()
-    o.materialize = True
+    o.materialize, o.publish_root, o.run_id = True, root, run_id
     out = migrate(spark, sources, targets, o)
-    publish_run(spark, dict(out), root, run_id, o.as_of)
+    built = {name: out[name] for name in out}  # builds (and writes) every step
+    publish_run(spark, built, root, run_id, o.as_of, already_written=out.written)
     return out

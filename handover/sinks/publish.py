@@ -19,8 +19,12 @@ RUNS = "_runs"
 RUN_LOG = "_run_log"
 
 
+def table_path(root: str, table: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/{table}/run_id={run_id}"
+
+
 def write_table(df: DataFrame, root: str, table: str, run_id: str) -> None:
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{table}/run_id={run_id}")
+    df.write.mode("overwrite").parquet(table_path(root, table, run_id))
 
 
 def publish_run(
@@ -29,14 +33,18 @@ def publish_run(
     root: str,
     run_id: str,
     finished_at: dt.datetime,
+    already_written: dict[str, int] | None = None,
 ) -> dict[str, int]:
     """Write every output, then mark the run complete (the commit point).
 
     Row counts are taken while writing (``DataFrame.observe``: no second pass)
-    and logged to ``_run_log``; they are returned as well.
+    and logged to ``_run_log``; they are returned as well. Tables listed in
+    ``already_written`` were written in place by the run and are only logged.
     """
-    counts: dict[str, int] = {}
+    counts: dict[str, int] = dict(already_written or {})
     for table, df in outputs.items():
+        if table in counts:  # written in place by the run itself
+            continue
         obs = Observation(f"rows_{table}")
         write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, table, run_id)
         counts[table] = int(obs.get["rows"])

@@ -25,3 +25,22 @@ def test_publish_failure_leaves_nothing(spark):
     with pytest.raises(Exception):
         publish_run(spark, {"ok": spark.range(3), "bad": bad}, root, "r1", dt.datetime(2024, 5, 1))
     assert read_published(spark, root, "ok").count() == 0  # written, never committed
+
+
+def test_run_migration_publishes_each_table_once(spark):
+    from handover.plans.migration import MigrationOptions, run_migration
+    from handover.sources import fixtures as fx
+    from conftest import SF_SMALL
+
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    src = fx.sources(spark, SF_SMALL)
+    targets = {"customers": fx.existing_customers(spark, SF_SMALL), "suppliers": fx.existing_suppliers(spark, SF_SMALL)}
+    out = run_migration(spark, src, targets, root, "r1", MigrationOptions())
+    # keyed and validated tables were written in place (their read-back is the published copy)
+    assert {"validated_transactions", "orders_inserted", "products_inserted"} <= set(out.written)
+    log = {r.table_name: r.row_count for r in spark.read.parquet(f"{root}/_run_log").collect()}
+    for name in ["orders_inserted", "order_details_inserted", "insert_log", "validated_transactions"]:
+        assert read_published(spark, root, name, "r1").count() == log[name] > 0
+    lines = read_published(spark, root, "order_details_inserted", "r1")
+    orders = read_published(spark, root, "orders_inserted", "r1")
+    assert lines.join(orders, "order_id", "left_anti").count() == 0
