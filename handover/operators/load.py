@@ -174,17 +174,23 @@ def _line_source(transactions_v: DataFrame, items: DataFrame, products: DataFram
     t = transactions_v.filter(_valid(transactions_v)).select(
         "transaction_id", "batch_ref", "item_ref", "qty", parse_money("amount", PERCENT_MARK).alias("pct")
     )
-    if "transaction_id" not in grain:
-        # Pre-aggregate lines per (batch, item) before the joins: the sums are
-        # associative, and this shrinks the rows that reach the shuffles.
-        t = t.groupBy("batch_ref", "item_ref").agg(F.sum("qty").alias("qty"), F.sum("pct").alias("pct"))
     it = items.select(F.col("item_id").alias("__iid"), F.col("label").alias("__label"))
     pr = products.select("product_id", F.col("product_name").alias("__pname"))
     od = orders.select("order_id", F.col("batch_id").alias("__bid"), "total_value")
-    return (
-        t.join(it, t.item_ref == it["__iid"], "inner")
-        .join(pr, F.col("__label") == F.col("__pname"), "inner")
-        .join(od, F.col("batch_ref") == F.col("__bid"), "inner")
+    if "transaction_id" in grain:
+        labelled = t.join(it, t.item_ref == it["__iid"], "inner")
+    else:
+        # Pre-aggregate before the joins (the sums are associative): lines per
+        # (batch, item) first, then per (batch, product name) so that the
+        # name join fans out once per name, not once per item of that name.
+        per_item = t.groupBy("batch_ref", "item_ref").agg(F.sum("qty").alias("qty"), F.sum("pct").alias("pct"))
+        labelled = (
+            per_item.join(it, per_item.item_ref == it["__iid"], "inner")
+            .groupBy("batch_ref", "__label")
+            .agg(F.sum("qty").alias("qty"), F.sum("pct").alias("pct"))
+        )
+    return labelled.join(pr, F.col("__label") == F.col("__pname"), "inner").join(
+        od, F.col("batch_ref") == F.col("__bid"), "inner"
     )
 
 
