@@ -44,11 +44,12 @@ def with_row_index(
 ) -> DataFrame:
     """Append ``name`` = start + (rank of the row in ``order_cols``) - 1."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order_cols(order_cols)
-    tagged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(
-        _POS, F.monotonically_increasing_id()
-    )
+    # Without a fixed count AQE may coalesce adjacent ranges to right-size the
+    # tasks; merged partitions are still contiguous ranges in order, so the
+    # numbering stays exact.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = ranged.sortWithinPartitions(*order).withColumn(_POS, F.monotonically_increasing_id())
     path = scratch_path(spark, "row-index")
     tagged.write.parquet(path)
     ranged = (

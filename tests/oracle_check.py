@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -62,7 +63,18 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
-    spark = local_session(8)
+    if os.environ.get("VANILLA_SESSION"):
+        from pyspark.sql import SparkSession
+
+        spark = (
+            SparkSession.builder.master("local[8]")
+            .config("spark.ui.enabled", "false")
+            .config("spark.sql.session.timeZone", os.environ.get("SESSION_TZ", "UTC"))
+            .getOrCreate()
+        )
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
     con = duck(sf_dir)
     qs, sql = E.queries(), E.oracle_sql()
     bad = 0

@@ -24,3 +24,19 @@ def test_row_index_skewed_key(spark):
     got = with_row_index(df, ["a", "id"], "k")
     ks = sorted(r.k for r in got.collect())
     assert ks == list(range(1, 3001))
+
+
+def test_row_index_with_coalesced_ranges(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    try:
+        rnd = random.Random(5)
+        rows = [(rnd.randint(0, 9), i) for i in range(2000)]
+        df = spark.createDataFrame(rows, "a int, id int")
+        got = with_row_index(df, ["a", "id"], "k")
+        exp = {r[1]: n + 1 for n, r in enumerate(sorted(rows))}
+        assert {r.id: r.k for r in got.collect()} == exp
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
