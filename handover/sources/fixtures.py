@@ -232,12 +232,6 @@ def existing_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def empty_products(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [], "product_id long, product_name string, supplier_id long, unit_price decimal(19,4), units_in_stock int, category_id string"
-    )
-
-
 def report_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The order-system tables the reports read, mapped onto the native tables."""
     orders = read_table(spark, sf_dir, "orders").select(

@@ -129,3 +129,27 @@ def test_audit_defaults_user(spark):
     b = spark.createDataFrame([(1, "y")], "k int, v string")
     r = audit_diff(a, b, ["k"], "T").first()
     assert r.changed_by and r.change_date is not None
+
+
+def test_read_all_sources_roundtrip(spark, tmp_path):
+    from handover.sources.tables import SOURCE_ORDER, read_all_sources
+
+    src = fx.sources(spark, SF_SMALL)
+    paths = {}
+    for name in SOURCE_ORDER:
+        paths[name] = str(tmp_path / name)
+        src[name].write.parquet(paths[name])
+    back = read_all_sources(spark, paths)
+    assert set(back) == set(SOURCE_ORDER)
+    for name in SOURCE_ORDER:
+        assert back[name].columns == src[name].columns
+        assert back[name].count() == src[name].count()
+
+
+def test_strict_money_raises_on_bad_text(spark):
+    from handover.functions.scalars import strict_money
+
+    ok = spark.createDataFrame([("12.5%",)], "x string").select(strict_money("x", "%")).first()[0]
+    assert str(ok) == "12.5000"
+    with pytest.raises(Exception):
+        spark.createDataFrame([("bad%",)], "x string").select(strict_money("x", "%")).collect()
