@@ -46,6 +46,9 @@ ERROR_MESSAGES: dict[str, str] = {
     TXN_BAD_ITEM: "Transaction refers to an invalid item.",
 }
 
+# Table names written in the combined error report.
+REPORT_TABLES = {"batches": "Batches", "entities": "Entity", "items": "Items", "transactions": "Transactions"}
+
 # Columns compared by the duplicate rule (the source compares these three only).
 DUP_KEYS = ("batch_ref", "item_ref", "date_key")
 
@@ -244,12 +247,12 @@ def error_report(
     own_items = items_v.filter(F.col("validation_error").isin(ITEM_NO_NAME, ITEM_NO_COST))
     own_txns = transactions_v.filter(F.col("validation_error").isin(TXN_DUPLICATE, TXN_NO_PERCENT))
     parts = [
-        bad_batches(batches, transactions_v).select(F.col("batch_id").alias("table_id"), F.lit("Batches").alias("table_name"), "error_code"),
-        bad_customers(entities, strict_type).select(F.col("entity_id").alias("table_id"), F.lit("Entity").alias("table_name"), "error_code"),
-        bad_suppliers(entities, strict_type).select(F.col("entity_id").alias("table_id"), F.lit("Entity").alias("table_name"), "error_code"),
-        own_items.select(F.col("item_id").alias("table_id"), F.lit("Items").alias("table_name"), F.col("validation_error").alias("error_code")),
+        bad_batches(batches, transactions_v).select(F.col("batch_id").alias("table_id"), F.lit(REPORT_TABLES["batches"]).alias("table_name"), "error_code"),
+        bad_customers(entities, strict_type).select(F.col("entity_id").alias("table_id"), F.lit(REPORT_TABLES["entities"]).alias("table_name"), "error_code"),
+        bad_suppliers(entities, strict_type).select(F.col("entity_id").alias("table_id"), F.lit(REPORT_TABLES["entities"]).alias("table_name"), "error_code"),
+        own_items.select(F.col("item_id").alias("table_id"), F.lit(REPORT_TABLES["items"]).alias("table_name"), F.col("validation_error").alias("error_code")),
         own_txns.select(
-            F.col("transaction_id").alias("table_id"), F.lit("Transactions").alias("table_name"), F.col("validation_error").alias("error_code")
+            F.col("transaction_id").alias("table_id"), F.lit(REPORT_TABLES["transactions"]).alias("table_name"), F.col("validation_error").alias("error_code")
         ),
     ]
     out = parts[0]
