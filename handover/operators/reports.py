@@ -15,6 +15,31 @@ from pyspark.sql import functions as F
 
 from handover.functions.scalars import int_div, ntz_lit, shift_years
 
+# The column labels the source reports show.
+PURCHASE_REPORT_LABELS = {
+    "customer_id": "Customer identifier",
+    "company_name": "Company name",
+    "contact_name": "Customer contact name",
+    "order_id": "Order identifier",
+    "order_date": "Order date",
+    "product_name": "Product name",
+    "quantity": "Quantity",
+    "unit_price": "Item Unit price",
+    "total_price": "Total price",
+    "category_name": "Category name",
+}
+LOYAL_REPORT_LABELS = {
+    "customer_id": "CustomerID",
+    "company_name": "CompanyName",
+    "avg_orders_per_month": "Average number of order per month",
+    "distinct_products": "Distinct count of products ordered",
+}
+
+
+def with_display_labels(df: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Rename report columns to their display labels (a projection only)."""
+    return df.select(*[F.col(c).alias(labels.get(c, c)) for c in df.columns])
+
 
 def _window(orders: DataFrame, as_of: dt.datetime, years: int = 1) -> DataFrame:
     """Orders dated in [as_of - years, as_of], bounds included (pushed to the scan)."""

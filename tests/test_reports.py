@@ -37,3 +37,13 @@ def test_loyal_customers_expected(spark):
     assert len(rows) == 35
     assert sum(r.avg_orders_per_month for r in rows) == 159
     assert sum(r.distinct_products for r in rows) == 730
+
+
+def test_display_labels(spark):
+    from handover.operators.reports import LOYAL_REPORT_LABELS, PURCHASE_REPORT_LABELS, with_display_labels
+
+    t = fx.report_tables(spark, SF_SMALL)
+    df = with_display_labels(customer_purchase_report(t, dt.datetime(1997, 1, 1), dt.datetime(1997, 12, 31)), PURCHASE_REPORT_LABELS)
+    assert df.columns[0] == "Customer identifier" and "Total price" in df.columns
+    lc = with_display_labels(loyal_customers(t["orders"], t["order_details"], t["customers"], dt.datetime(2001, 8, 1)), LOYAL_REPORT_LABELS)
+    assert "Average number of order per month" in lc.columns
