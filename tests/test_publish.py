@@ -44,3 +44,16 @@ def test_run_migration_publishes_each_table_once(spark):
     lines = read_published(spark, root, "order_details_inserted", "r1")
     orders = read_published(spark, root, "orders_inserted", "r1")
     assert lines.join(orders, "order_id", "left_anti").count() == 0
+
+
+def test_command_line(spark):
+    from handover.__main__ import main
+    from handover.sinks.publish import completed_runs
+    from conftest import SF_SMALL
+
+    root = tempfile.mkdtemp(prefix="cli-", dir="/tmp")
+    assert main(["migrate", "--fixtures", SF_SMALL, "--root", root, "--run-id", "c1", "--as-of", "2024-05-01"]) == 0
+    assert [r.run_id for r in completed_runs(spark, root).collect()] == ["c1"]
+    out = tempfile.mkdtemp(prefix="cli-rep-", dir="/tmp") + "/rep"
+    assert main(["purchase-report", "--fixtures", SF_SMALL, "--start", "1997-01-01", "--end", "1997-12-31", "--out", out]) == 0
+    assert spark.read.parquet(out).count() > 0
