@@ -27,3 +27,12 @@ def test_report_filter_pushed_to_scan(spark):
 def test_column_pruning(spark):
     plan = _plan(QUERIES["q_loyal_customers"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in plan
+
+
+@pytest.mark.parametrize("name", ["q_validate_transactions", "q_load_order_details", "q_loyal_customers", "q_audit_log", "q_error_report"])
+def test_no_window_over_data_keys(spark, name):
+    import re
+
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    for spec in re.findall(r"Window \[.*?windowspecdefinition\(([^,]*)", plan):
+        assert "__ho_pid" in spec, f"{name}: window over {spec}"
