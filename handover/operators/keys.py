@@ -8,9 +8,11 @@
    range bounds come from sampling, so two evaluations of the shuffle may
    cut the data differently; one written copy makes the counts and the
    positions agree, cuts the lineage, and survives executor loss;
-3. count rows per partition (a tiny aggregate: one row per partition) and
-   turn the counts into cumulative offsets, broadcast (their size is bounded
-   by the partition count, not by the data);
+3. count rows per partition (a tiny aggregate: one row per partition, so its
+   size is bounded by the partition count, not by the data -- the way
+   ``RDD.zipWithIndex`` computes its start indices) and turn the counts into
+   cumulative offsets, held as one literal array (or, past 100,000
+   partitions, a broadcast table);
 4. key = start + offset of the partition + position inside the partition.
 
 The result equals ``row_number() OVER (ORDER BY order_cols)`` when the
@@ -29,6 +31,7 @@ _PID = "__ho_pid"
 _POS = "__ho_pos"
 _OFF = "__ho_off"
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | position
+_MAX_LITERAL_OFFSETS = 100_000  # beyond this many partitions, join a broadcast offsets table
 
 
 def _order_cols(cols) -> list[Column]:
@@ -57,14 +60,27 @@ def with_row_index(
         .withColumn(_PID, F.shiftright(F.col(_POS), _LOCAL_BITS))
         .withColumn(_POS, F.col(_POS).bitwiseAND((1 << _LOCAL_BITS) - 1))
     )
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    # One row per partition: the size of this result is bounded by the
+    # partition count, not by the data (as RDD.zipWithIndex does).
+    sizes = {r[0]: r[1] for r in ranged.groupBy(_PID).count().collect()}
+    if len(sizes) <= _MAX_LITERAL_OFFSETS:
+        acc, offsets = 0, []
+        for pid in range(max(sizes, default=-1) + 1):
+            offsets.append(acc)
+            acc += sizes.get(pid, 0)
+        # A single folded literal: the key is then a narrow projection, with
+        # no join, window or shuffle in the plans that read it.
+        table = F.split(F.lit(",".join(map(str, offsets)) or "0"), ",")
+        off = F.element_at(table, (F.col(_PID) + 1).cast("int")).cast("long")
+        return ranged.withColumn(name, (start_col + off + F.col(_POS)).cast("long")).drop(_PID, _POS)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__ho_n"))
-    offsets = counts.select(
+    offsets_df = counts.select(
         _PID,
         (F.sum("__ho_n").over(Window.orderBy(_PID)) - F.col("__ho_n")).alias(_OFF),
     )
-    start_col = start if isinstance(start, Column) else F.lit(start)
     return (
-        ranged.join(F.broadcast(offsets), _PID, "inner")
+        ranged.join(F.broadcast(offsets_df), _PID, "inner")
         .withColumn(name, (start_col + F.col(_OFF) + F.col(_POS)).cast("long"))
         .drop(_PID, _POS, _OFF)
     )
