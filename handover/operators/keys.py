@@ -71,8 +71,8 @@ def with_row_index(
             acc += sizes.get(pid, 0)
         # A single folded literal: the key is then a narrow projection, with
         # no join, window or shuffle in the plans that read it.
-        table = F.split(F.lit(",".join(map(str, offsets)) or "0"), ",")
-        off = F.element_at(table, (F.col(_PID) + 1).cast("int")).cast("long")
+        table = F.split(F.lit(",".join(map(str, offsets)) or "0"), ",").cast("array<bigint>")
+        off = F.element_at(table, (F.col(_PID) + 1).cast("int"))
         return ranged.withColumn(name, (start_col + off + F.col(_POS)).cast("long")).drop(_PID, _POS)
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__ho_n"))
     offsets_df = counts.select(
