@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from handover.operators.sizing import measured
 from handover.functions.scalars import (
     COST_MARK,
     PERCENT_MARK,
@@ -173,17 +174,19 @@ def _with_survivor(transactions: DataFrame, keys=DUP_KEYS) -> DataFrame:
 
     Only groups with more than one row are kept from the aggregate (partial
     per map task, so a hot group is combined before the shuffle). That frame
-    is usually small, and AQE broadcasts it once its measured size is under
-    the threshold, so the large side is not shuffled for the join; with many
-    duplicates it stays a sort-merge join and AQE splits skewed partitions.
+    is usually small; it is written once so the planner sees its real size
+    and broadcasts it when under the threshold, leaving the large side
+    unshuffled; with many duplicates it stays a sort-merge join and AQE
+    splits skewed partitions.
     Keys are matched null-safely (nulls group together, as in SQL).
     """
     keys = list(keys)
-    groups = (
+    groups = measured(
         transactions.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"), F.min("transaction_id").alias("__first"))
         .filter(F.col("__n") > 1)
-        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__first")
+        .select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__first"),
+        "duplicate-groups",
     )
     cond = [transactions[k].eqNullSafe(groups[f"__s_{k}"]) for k in keys]
     return (
@@ -216,12 +219,21 @@ def bad_transactions(transactions: DataFrame, keys=DUP_KEYS) -> DataFrame:
 
 def validate_transactions(transactions: DataFrame, items_v: DataFrame, keys=DUP_KEYS) -> DataFrame:
     """Own rule first, else an invalid item. A missing item or an invalid
-    batch does not invalidate the line (as in the source)."""
+    batch does not invalidate the line (as in the source).
+
+    Only the invalid items take part in the join: a line whose item is
+    valid and a line whose item is missing are treated alike, so the small
+    side is the invalid items, written once so the planner sees their real
+    size and broadcasts them when under the threshold, leaving the large
+    line table unshuffled.
+    """
     t = _with_survivor(transactions, keys)
-    it = items_v.select(F.col("item_id").alias("__item_id"), F.col("is_valid").alias("__item_valid"))
-    j = t.join(it, t.item_ref == it["__item_id"], "left")
-    code = F.coalesce(_txn_code(), F.when(F.col("__item_valid") == F.lit(False), F.lit(TXN_BAD_ITEM)))
-    return _with_validity(j, code).drop("survivor_id", "__item_id", "__item_valid")
+    bad_items_ = measured(
+        items_v.filter(~F.col("is_valid")).select(F.col("item_id").alias("__bad_item")), "invalid-items"
+    )
+    j = t.join(bad_items_, t.item_ref == bad_items_["__bad_item"], "left")
+    code = F.coalesce(_txn_code(), F.when(F.col("__bad_item").isNotNull(), F.lit(TXN_BAD_ITEM)))
+    return _with_validity(j, code).drop("survivor_id", "__bad_item")
 
 
 # ---------------------------------------------------------------- report/util
