@@ -170,28 +170,22 @@ def load_orders(
     return {"inserted": inserted, "quarantined": quarantined, "candidates": src}
 
 
-def _line_source(transactions_v: DataFrame, items: DataFrame, products: DataFrame, orders: DataFrame, grain: list[str]):
-    t = transactions_v.filter(_valid(transactions_v)).select(
+def _valid_lines(transactions_v: DataFrame) -> DataFrame:
+    return transactions_v.filter(_valid(transactions_v)).select(
         "transaction_id", "batch_ref", "item_ref", "qty", parse_money("amount", PERCENT_MARK).alias("pct")
     )
-    it = items.select(F.col("item_id").alias("__iid"), F.col("label").alias("__label"))
-    pr = products.select("product_id", F.col("product_name").alias("__pname"))
-    od = orders.select("order_id", F.col("batch_id").alias("__bid"), "total_value")
-    if "transaction_id" in grain:
-        labelled = t.join(it, t.item_ref == it["__iid"], "inner")
-    else:
-        # Pre-aggregate before the joins (the sums are associative): lines per
-        # (batch, item) first, then per (batch, product name) so that the
-        # name join fans out once per name, not once per item of that name.
-        per_item = t.groupBy("batch_ref", "item_ref").agg(F.sum("qty").alias("qty"), F.sum("pct").alias("pct"))
-        labelled = (
-            per_item.join(it, per_item.item_ref == it["__iid"], "inner")
-            .groupBy("batch_ref", "__label")
-            .agg(F.sum("qty").alias("qty"), F.sum("pct").alias("pct"))
-        )
-    return labelled.join(pr, F.col("__label") == F.col("__pname"), "inner").join(
-        od, F.col("batch_ref") == F.col("__bid"), "inner"
-    )
+
+
+def _items(items: DataFrame) -> DataFrame:
+    return items.select(F.col("item_id").alias("__iid"), F.col("label").alias("__label"))
+
+
+def _products(products: DataFrame) -> DataFrame:
+    return products.select("product_id", F.col("product_name").alias("__pname"))
+
+
+def _orders(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", F.col("batch_id").alias("__bid"), "total_value")
 
 
 def load_order_details(
@@ -203,10 +197,23 @@ def load_order_details(
     """One line per (order, product): quantity = sum of qty; unit price =
     total x sum(percent / 100) / sum(qty), computed exactly on integers and
     rounded half-up once to 4 places. Lines with zero quantity are
-    quarantined instead of failing on the division."""
-    j = _line_source(transactions_v, items, products, orders, ["batch_ref", "item_ref"])
-    g = j.groupBy("order_id", "product_id", "total_value").agg(
-        F.sum("qty").alias("quantity"), F.sum("pct").alias("pct_sum")
+    quarantined instead of failing on the division.
+
+    The lines are aggregated once, per (batch, product name), before the
+    name join: an order has one batch and a product one name, so the joins
+    to products and orders then yield exactly one row per (order, product)
+    -- the source's GROUP BY needs no second shuffle, and repeated names fan
+    out once per name rather than once per line.
+    """
+    t = _valid_lines(transactions_v)
+    it = _items(items)
+    per_name = (
+        t.join(it, t.item_ref == it["__iid"], "inner")
+        .groupBy("batch_ref", "__label")
+        .agg(F.sum("qty").alias("quantity"), F.sum("pct").alias("pct_sum"))
+    )
+    g = per_name.join(_products(products), F.col("__label") == F.col("__pname"), "inner").join(
+        _orders(orders), F.col("batch_ref") == F.col("__bid"), "inner"
     )
     num = money_to_units(F.col("total_value")) * money_to_units(F.col("pct_sum"))
     den = F.lit(1000000) * F.col("quantity").cast("long")
@@ -224,5 +231,11 @@ def order_detail_lineage(
     """Which source transactions went into which (order, product) line, one row
     per transaction and line (the n:m lineage, normalised rather than a
     comma list, so no group is gathered into one value)."""
-    j = _line_source(transactions_v, items, products, orders, ["transaction_id"])
-    return j.select("order_id", "product_id", "transaction_id")
+    t = _valid_lines(transactions_v)
+    it = _items(items)
+    return (
+        t.join(it, t.item_ref == it["__iid"], "inner")
+        .join(_products(products), F.col("__label") == F.col("__pname"), "inner")
+        .join(_orders(orders), F.col("batch_ref") == F.col("__bid"), "inner")
+        .select("order_id", "product_id", "transaction_id")
+    )
