@@ -36,3 +36,21 @@ def test_no_window_over_data_keys(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     for spec in re.findall(r"Window \[.*?windowspecdefinition\(([^,]*)", plan):
         assert "__ho_pid" in spec, f"{name}: window over {spec}"
+
+
+def test_line_cascade_does_not_shuffle_the_lines(spark):
+    """With few duplicates and few invalid items (the usual case) the staged
+    lines pass the whole cascade in one map-only stage."""
+    df = QUERIES["q_validate_transactions"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final
+    assert "hashpartitioning(item_ref" not in final
+    assert "hashpartitioning(batch_ref" not in final
+    assert final.count("BroadcastHashJoin") >= 2
+
+
+def test_order_lines_aggregate_once(spark):
+    plan = _plan(QUERIES["q_load_order_details"](spark, SF_SMALL))
+    final_aggs = [l for l in plan.splitlines() if "HashAggregate(keys=[batch_ref" in l and "partial_" not in l]
+    assert len(final_aggs) == 1, final_aggs
