@@ -60,7 +60,11 @@ def with_row_index(
         .withColumn(_PID, F.shiftright(F.col(_POS), _LOCAL_BITS))
         .withColumn(_POS, F.col(_POS).bitwiseAND((1 << _LOCAL_BITS) - 1))
     )
-    start_col = start if isinstance(start, Column) else F.lit(start)
+    if isinstance(start, Column):
+        # Fixed once, at numbering time (like an IDENTITY seed): a later
+        # change of the table the start came from must not move the keys.
+        start = spark.range(1).select(start.alias("s")).first()["s"]
+    start_col = F.lit(int(start)).cast("long")
     # One row per partition: the size of this result is bounded by the
     # partition count, not by the data (as RDD.zipWithIndex does).
     sizes = {r[0]: r[1] for r in ranged.groupBy(_PID).count().collect()}
