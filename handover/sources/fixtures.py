@@ -22,7 +22,7 @@ from handover.functions.scalars import (
     shift_years,
 )
 from handover.operators.keys import with_row_index
-from handover.session import ensure_checkpoint_dir, scratch_path
+from handover.session import ensure_checkpoint_dir
 from handover.schemas import SOURCE_SCHEMAS
 from handover.sources.tables import conform, read_table
 
@@ -117,19 +117,27 @@ LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdat
 
 
 def _derive_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged transactions as a narrow projection of one written copy.
+
+    Per order: the line count and whether a line is the order's first in
+    the total order. Both come from an aggregate with map-side combine
+    joined back *before* numbering, so the numbering's written copy already
+    holds every input column and the staged table is a projection of it (no
+    second write, no join after numbering). The seven columns are a total
+    order on the provided lines (no two lines agree on all of them), so
+    exactly one line per order is its first.
+    """
     cols = sorted(set(LINE_ORDER))
     li = read_table(spark, sf_dir, "lineitem").select(*cols)
-    numbered = with_row_index(li, LINE_ORDER, "rid")
-    # Lines per order and the first number of the order: an aggregate (with
-    # map-side combine) joined back, so a very large order is not one window task.
-    per_order = numbered.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n"), F.min("rid").alias("first_rid")
+    within = F.struct(*LINE_ORDER[1:])
+    per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min(within).alias("__first"))
+    lines = li.join(per_order, "l_orderkey", "inner").select(
+        *cols, "n", (within == F.col("__first")).alias("is_first")
     )
-    t = numbered.join(per_order, "l_orderkey", "inner")
+    t = with_row_index(lines, LINE_ORDER, "rid")
     rid, n = F.col("rid"), F.col("n")
     base = int_div(F.lit(100), n)
-    rn = rid - F.col("first_rid") + 1
-    share = base + F.when(rn == 1, F.lit(100) - n * base).otherwise(F.lit(0))
+    share = base + F.when(F.col("is_first"), F.lit(100) - n * base).otherwise(F.lit(0))
     original_amount = (
         F.when(rid % 101 == 0, F.lit("bad%"))
         .when(rid % 103 == 0, F.lit("33.5%"))
@@ -137,7 +145,7 @@ def _derive_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     copy_amount = F.concat(base.cast("string"), F.lit("%"))
     # Each line yields itself and, for every 97th, an injected duplicate: one
-    # pass with a generator instead of a union that would run the join twice.
+    # pass with a generator instead of a union.
     versions = F.when(
         rid % 97 == 0,
         F.array(
@@ -156,8 +164,8 @@ def _derive_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(out, SOURCE_SCHEMAS["transactions"], "transactions")
 
 
-# Staged tables written in this session: (checkpoint dir, source fingerprint) -> path.
-_STAGED: dict[tuple[str, str], str] = {}
+# Staged transactions built in this session: (checkpoint dir, source fingerprint) -> frame.
+_STAGED: dict[tuple[str, str], DataFrame] = {}
 
 
 def _fingerprint(sf_dir: str, table: str) -> str:
@@ -173,18 +181,16 @@ def transactions(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     """Staged transactions, extracted once per session into the shared folder.
 
     Staging is a physical table in the source system: it is extracted once
-    and every rule and load reads it. Writing it once means later steps read
-    a plain, column-pruned scan instead of repeating the numbering joins.
+    and every rule and load reads it. The numbering's written copy is that
+    table; the frame returned is a narrow projection over it.
+    ``materialize=False`` derives it again instead of reusing this session's copy.
     """
     if not materialize:
         return _derive_transactions(spark, sf_dir)
     key = (ensure_checkpoint_dir(spark), _fingerprint(sf_dir, "lineitem"))
-    path = _STAGED.get(key)
-    if path is None:
-        path = scratch_path(spark, "staged-transactions")
-        _derive_transactions(spark, sf_dir).write.parquet(path)
-        _STAGED[key] = path
-    return spark.read.parquet(path)
+    if key not in _STAGED:
+        _STAGED[key] = _derive_transactions(spark, sf_dir)
+    return _STAGED[key]
 
 
 def sources(spark: SparkSession, sf_dir: str, reuse_staged: bool = True) -> dict[str, DataFrame]:
