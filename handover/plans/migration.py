@@ -40,6 +40,11 @@ PUBLISH_LAYOUT: dict[str, list[str]] = {
 }
 
 
+# Outputs used between steps only (the order candidates feed the constraint
+# report and the quarantine list, which are published themselves).
+INTERNAL_OUTPUTS = frozenset({"orders_candidates"})
+
+
 @dataclass
 class MigrationOptions:
     as_of: dt.datetime = dt.datetime(2024, 5, 1)
@@ -200,7 +205,8 @@ def run_migration(
     o = options or MigrationOptions()
     o.materialize, o.publish_root, o.run_id = True, root, run_id
     out = migrate(spark, sources, targets, o)
-    built = {name: out[name] for name in out}  # builds (and writes) every step
+    # builds (and writes) every step; internal hand-over frames are not published
+    built = {name: out[name] for name in out if name not in INTERNAL_OUTPUTS}
     built = {n: df.sortWithinPartitions(*PUBLISH_LAYOUT[n]) if n in PUBLISH_LAYOUT else df for n, df in built.items()}
     publish_run(spark, built, root, run_id, o.as_of, already_written=out.written)
     return out
