@@ -109,3 +109,13 @@ def test_bad_total_fail_mode(spark):
     out = migrate(spark, src, targets, MigrationOptions(on_bad_total="fail"))
     with pytest.raises(LD.BadTotalError):
         out["orders_inserted"]  # the check runs when the order load is built
+
+
+def test_second_supplier_run_inserts_nothing(spark):
+    loc = spark.createDataFrame([(1, "a", "b", "c", "d")], LOC)
+    ent = spark.createDataFrame([(30, "S3", "B", 1, "p", True), (10, "S1", "B", 1, "q", True)], ENT)
+    existing = spark.createDataFrame([], SUP)
+    first = LD.load_suppliers(ent, loc, existing)
+    assert sorted(r.supplier_id for r in first["inserted"].collect()) == [1, 2]
+    again = LD.load_suppliers(ent, loc, first["target"])
+    assert again["inserted"].count() == 0  # numbering of an empty frame
