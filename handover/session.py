@@ -30,7 +30,7 @@ def local_session(cores: int | str = "*", app: str = "handover", shuffle_partiti
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # split a skewed join partition even when that needs one more shuffle
-        # (e.g. a hot item under the per-(batch, item) pre-aggregation)
+        # (e.g. a hot item under the order-line aggregation on the item join)
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
