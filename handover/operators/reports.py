@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from handover.functions.scalars import int_div, ntz_lit, shift_years
@@ -98,18 +98,33 @@ def customer_month_orders(
     """Rows of the trailing-year order lines per customer and month, for the
     customers of ``customers_with_orders``. As in the source this counts
     lines (an order without lines counts once); ``count_orders`` counts
-    distinct orders instead."""
-    cwo = customers_with_orders(orders, order_details, customers, as_of, min_orders).select("customer_id")
+    distinct orders instead.
+
+    One pass over the window's lines: they are reduced to one row per order,
+    then per (customer, month) with the number of orders that have lines.
+    Eligibility (at least ``min_orders`` such orders) is a sum over the
+    customer's months -- a window whose groups hold at most 13 rows (the
+    months an inclusive one-year window can touch), so a hot customer is
+    still a small group.
+    """
     lines = _window_lines(orders, order_details, as_of)
-    counted = F.countDistinct("order_id") if count_orders else F.count("order_id")
+    per_order = lines.groupBy(
+        "customer_id",
+        "order_id",
+        F.year("order_date").alias("order_year"),
+        F.month("order_date").alias("order_month"),
+    ).agg(F.count("order_id").alias("n_rows"), F.count("product_id").alias("n_lines"))
+    per_month = per_order.groupBy("customer_id", "order_year", "order_month").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_orders_month"),
+        F.count(F.when(F.col("n_lines") > 0, F.lit(1))).alias("n_with_lines"),
+    )
+    counted = F.col("n_orders_month") if count_orders else F.col("n_rows")
     return (
-        lines.join(cwo, "customer_id", "left_semi")
-        .groupBy(
-            "customer_id",
-            F.year("order_date").alias("order_year"),
-            F.month("order_date").alias("order_month"),
-        )
-        .agg(counted.alias("order_count"))
+        per_month.withColumn("n_orders", F.sum("n_with_lines").over(Window.partitionBy("customer_id")))
+        .filter(F.col("n_orders") >= min_orders)
+        .join(customers.select("customer_id"), "customer_id", "left_semi")
+        .select("customer_id", "order_year", "order_month", counted.alias("order_count"))
     )
 
 
