@@ -19,6 +19,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -39,15 +45,20 @@ def compare(spark, name, fn, sql, sf_dir, con):
     df = fn(spark, sf_dir)
     srows = [tuple(r) for r in df.collect()]
     t1 = time.time()
-    res = con.execute(sql)
-    dcols = [d[0] for d in res.description]
-    drows = res.fetchall()
+    rel = con.sql(sql)
+    dcols = list(rel.columns)
+    dtypes = dict(zip(dcols, map(str, rel.types)))
+    drows = rel.fetchall()
     t2 = time.time()
     s_sorted, scols = rows_of(df.columns, srows)
     d_sorted, dcols_s = rows_of(dcols, drows)
-    ok = scols == dcols_s and s_sorted == d_sorted
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    type_diff = {c: (stypes.get(c), dtypes.get(c)) for c in dcols if stypes.get(c) != dtypes.get(c)}
+    ok = scols == dcols_s and s_sorted == d_sorted and not type_diff
     info = f"{name}: spark {len(srows)} rows {t1-t0:.1f}s / duckdb {len(drows)} rows {t2-t1:.1f}s"
     if not ok:
+        if type_diff:
+            info += f"\n   types differ: {type_diff}"
         if scols != dcols_s:
             info += f"\n   columns differ: {scols} vs {dcols_s}"
         else:
