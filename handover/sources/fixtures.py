@@ -8,6 +8,7 @@ with them and runs distributed.
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,10 +35,36 @@ DUPLICATE_ID_BASE = 1000000000     # transaction id of an injected copy
 DATE_SHIFT_YEARS = 26
 
 
+_BUILT: dict[tuple, object] = {}
+
+
+def _dir_fingerprint(sf_dir: str) -> tuple:
+    base = os.path.abspath(sf_dir)
+    try:
+        return (base, tuple(sorted((f, os.stat(os.path.join(base, f)).st_size) for f in os.listdir(base))))
+    except OSError:  # not a local path
+        return (base,)
+
+
+def _per_session(fn):
+    """Build a fixture frame once per session and source folder (frames are
+    immutable and lazy; this saves the driver-side analysis of each step)."""
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str):
+        key = (fn.__name__, id(spark), spark.sparkContext.applicationId, _dir_fingerprint(sf_dir))
+        if key not in _BUILT:
+            _BUILT[key] = fn(spark, sf_dir)
+        return _BUILT[key]
+
+    return wrapper
+
+
 def _lit_null(t: str):
     return F.lit(None).cast(t)
 
 
+@_per_session
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
@@ -52,6 +79,7 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, SOURCE_SCHEMAS["locations"], "locations")
 
 
+@_per_session
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     s = read_table(spark, sf_dir, "supplier")
@@ -74,6 +102,7 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(cust.unionByName(sup), SOURCE_SCHEMAS["entities"], "entities")
 
 
+@_per_session
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     n_sup = read_table(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
@@ -97,6 +126,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, SOURCE_SCHEMAS["items"], "items")
 
 
+@_per_session
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
@@ -205,6 +235,7 @@ def sources(spark: SparkSession, sf_dir: str, reuse_staged: bool = True) -> dict
     }
 
 
+@_per_session
 def existing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target customers present before the migration."""
     c = read_table(spark, sf_dir, "customer")
@@ -222,6 +253,7 @@ def existing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
 def existing_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target suppliers present before the migration."""
     s = read_table(spark, sf_dir, "supplier")
@@ -238,6 +270,7 @@ def existing_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
 def report_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The order-system tables the reports read, mapped onto the native tables."""
     orders = read_table(spark, sf_dir, "orders").select(
@@ -285,6 +318,7 @@ def _customer_image(c: DataFrame) -> DataFrame:
     )
 
 
+@_per_session
 def customer_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two versions of the customer table: keys %10=1 are inserted, %10=3
     deleted, %10=2 change segment (FIXTURES.md, audit snapshots)."""
