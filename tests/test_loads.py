@@ -119,3 +119,17 @@ def test_second_supplier_run_inserts_nothing(spark):
     assert sorted(r.supplier_id for r in first["inserted"].collect()) == [1, 2]
     again = LD.load_suppliers(ent, loc, first["target"])
     assert again["inserted"].count() == 0  # numbering of an empty frame
+
+
+def test_order_name_join_fans_out(spark):
+    batches = spark.createDataFrame(
+        [(1, 1714521600, 7, "USD 10.00", True), (2, 1714521600123, 8, "USD 20.00", True)],
+        "batch_id int, batch_date long, reference_id int, total_value string, is_valid boolean",
+    )
+    entities = spark.createDataFrame([(7, "Twin"), (8, "Solo")], "entity_id int, entity_label string")
+    customers = spark.createDataFrame([("TAAAA", "Twin"), ("TBBBB", "Twin"), ("SCCCC", "Solo")], "customer_id string, company_name string")
+    out = LD.load_orders(batches, entities, customers)["inserted"]
+    got = sorted((r.batch_id, r.customer_id, r.order_id) for r in out.collect())
+    # batch 1 matches two customers of one name: two orders (ids in batch, customer order)
+    assert got == [(1, "TAAAA", 1), (1, "TBBBB", 2), (2, "SCCCC", 3)]
+    assert {r.order_date for r in out.collect()} == {dt.datetime(2024, 5, 1)}
