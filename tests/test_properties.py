@@ -59,3 +59,25 @@ def test_parse_percent_matches_rules(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(parse_percent_int("x")).collect()]
     assert got == [_ref_pct(v) for v in values]
+
+
+def _ref_code(name):
+    import hashlib
+
+    t = ("" if name is None else name)[:255].strip(" ")
+    if not t:
+        return None
+    return (t[0] + hashlib.sha1(t.encode("utf-16-le")).hexdigest()[:4]).upper()
+
+
+names = st.text(alphabet=st.sampled_from(list("abcxyzABCXYZ0189 &.-'éàüñøÅÇ漢字ДЖ")), max_size=40)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(names, st.none()), min_size=1, max_size=60))
+def test_customer_code_matches_hashlib(spark, values):
+    from handover.functions.scalars import customer_code
+
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(customer_code("x")).collect()]
+    assert got == [_ref_code(v) for v in values]
