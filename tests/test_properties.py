@@ -81,3 +81,33 @@ def test_customer_code_matches_hashlib(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(customer_code("x")).collect()]
     assert got == [_ref_code(v) for v in values]
+
+
+row = st.tuples(st.integers(0, 30), st.one_of(st.none(), st.sampled_from(["a", "b", "c"])), st.one_of(st.none(), st.integers(-3, 3)))
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(row, max_size=25, unique_by=lambda r: r[0]), st.lists(row, max_size=25, unique_by=lambda r: r[0]))
+def test_audit_diff_matches_brute_force(spark, before_rows, after_rows):
+    import json
+
+    from handover.operators.audit import audit_diff
+
+    schema = "k int, s string, n int"
+    before = spark.createDataFrame(before_rows, schema)
+    after = spark.createDataFrame(after_rows, schema)
+    got = {(r.k, r.operation): (r.key_values, r.old_values, r.new_values) for r in audit_diff(before, after, ["k"], "T", None, "me").collect()}
+
+    def image(r):
+        return json.dumps({k: v for k, v in zip(("k", "s", "n"), r) if v is not None}, separators=(",", ":"))
+
+    b, a = {r[0]: r for r in before_rows}, {r[0]: r for r in after_rows}
+    exp = {}
+    for k in set(b) | set(a):
+        if k not in a:
+            exp[(k, "D")] = (json.dumps({"k": k}, separators=(",", ":")), image(b[k]), None)
+        elif k not in b:
+            exp[(k, "I")] = (json.dumps({"k": k}, separators=(",", ":")), None, image(a[k]))
+        elif b[k] != a[k]:
+            exp[(k, "U")] = (json.dumps({"k": k}, separators=(",", ":")), image(b[k]), image(a[k]))
+    assert got == exp
