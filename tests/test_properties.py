@@ -111,3 +111,82 @@ def test_audit_diff_matches_brute_force(spark, before_rows, after_rows):
         elif b[k] != a[k]:
             exp[(k, "U")] = (json.dumps({"k": k}, separators=(",", ":")), image(b[k]), image(a[k]))
     assert got == exp
+
+
+ENT_S = "entity_id int, entity_label string, type_flag string, location_ref int, contact_info string"
+ITM_S = "item_id int, label string, source_ref int, group_ref int, cost string, qty_available int"
+BAT_S = "batch_id int, batch_date long, reference_id int, total_value string"
+TXN_S = "transaction_id int, batch_ref int, item_ref int, partner_ref int, qty int, date_key long, amount string"
+
+ent_rows = st.lists(
+    st.tuples(st.sampled_from([None, "", "  ", "Acme", "Zed"]), st.sampled_from([None, "A", "a", "B", "b"])), min_size=1, max_size=8
+)
+itm_rows = st.lists(
+    st.tuples(st.sampled_from(["", " ", "P", "Q"]), st.integers(0, 9), st.sampled_from(["$1.50", "n/a", "", "$2", None])), min_size=1, max_size=8
+)
+txn_rows = st.lists(
+    st.tuples(st.integers(1, 3), st.one_of(st.none(), st.integers(1, 9)), st.integers(1, 2), st.sampled_from(["50%", "bad%", "33.5%", None])),
+    max_size=20,
+)
+
+
+def _blank(x):
+    return x is None or x.strip(" ") == ""
+
+
+def _money_ok(x, mark):
+    if x is None:
+        return False
+    s = x.replace(mark, "").strip(" ").replace(",", "")
+    return bool(_NUM.fullmatch(s))
+
+
+@settings(max_examples=12, deadline=None)
+@given(ent_rows, itm_rows, txn_rows)
+def test_cascade_matches_brute_force(spark, ents, itms, txns):
+    from handover.operators import validate as V
+
+    E = [(i + 1, lab if lab is not None else "", flag, 1, "x") for i, (lab, flag) in enumerate(ents)]  # label NOT NULL
+    I = [(i + 1, lab, src, 0, cost, 1) for i, (lab, src, cost) in enumerate(itms)]
+    B = [(b, 0, b, "USD 1") for b in (1, 2, 3)]
+    T = [(i + 1, b, it, 0, 1, d, amt) for i, (b, it, d, amt) in enumerate(txns)]
+    v = V.validate_all({
+        "locations": None,
+        "entities": spark.createDataFrame(E, ENT_S),
+        "items": spark.createDataFrame(I, ITM_S),
+        "batches": spark.createDataFrame(B, BAT_S),
+        "transactions": spark.createDataFrame(T, TXN_S),
+    })
+    # brute force, rule by rule
+    up = lambda f: (f or "").upper()
+    ent_bad = {e[0]: (up(e[2]) == "A" and e[1] is None) or e[1].strip(" ") == "" or (up(e[2]) == "B" and e[1] is None) for e in E}
+    ent_flag = {e[0]: e[2] for e in E}
+    exp_items = {}
+    for i in I:
+        if _blank(i[1]):
+            exp_items[i[0]] = V.ITEM_NO_NAME
+        elif not _money_ok(i[4], "$"):
+            exp_items[i[0]] = V.ITEM_NO_COST
+        elif not (i[2] in ent_flag and up(ent_flag[i[2]]) == "B" and not ent_bad[i[2]]):
+            exp_items[i[0]] = V.ITEM_BAD_SUPPLIER
+        else:
+            exp_items[i[0]] = None
+    first = {}
+    for t in T:
+        key = (t[1], t[2], t[5])
+        first[key] = min(first.get(key, t[0]), t[0])
+    exp_txn = {}
+    for t in T:
+        if first[(t[1], t[2], t[5])] != t[0]:
+            exp_txn[t[0]] = V.TXN_DUPLICATE
+        elif not _money_ok(t[6], "%"):
+            exp_txn[t[0]] = V.TXN_NO_PERCENT
+        elif t[2] in exp_items and exp_items[t[2]] is not None:
+            exp_txn[t[0]] = V.TXN_BAD_ITEM
+        else:
+            exp_txn[t[0]] = None
+    exp_bat = {b[0]: None if (b[2] in ent_bad and not ent_bad[b[2]]) else V.BATCH_BAD_CUSTOMER for b in B}
+    assert {r.item_id: r.validation_error for r in v["items"].collect()} == exp_items
+    assert {r.transaction_id: r.validation_error for r in v["transactions"].collect()} == exp_txn
+    assert {r.batch_id: r.validation_error for r in v["batches"].collect()} == exp_bat
+    assert {r.entity_id: (not r.is_valid) for r in v["entities"].collect()} == ent_bad
