@@ -44,7 +44,13 @@ def cmd_migrate(args: argparse.Namespace) -> int:
         targets = {"customers": fx.existing_customers(spark, args.fixtures), "suppliers": fx.existing_suppliers(spark, args.fixtures)}
     else:
         sources = read_all_sources(spark, {t: f"{args.extracts.rstrip('/')}/{t}" for t in SOURCE_ORDER})
-        targets = {"customers": spark.read.parquet(args.customers), "suppliers": spark.read.parquet(args.suppliers)}
+        from handover.schemas import CUSTOMERS, SUPPLIERS
+        from handover.sources.tables import conform
+
+        targets = {
+            "customers": conform(spark.read.parquet(args.customers), CUSTOMERS, "customers"),
+            "suppliers": conform(spark.read.parquet(args.suppliers), SUPPLIERS, "suppliers"),
+        }
     opts = MigrationOptions(
         as_of=_date(args.as_of) if args.as_of else dt.datetime.now().replace(microsecond=0),
         strict_type=args.strict_type,

@@ -24,7 +24,7 @@ from handover.functions.scalars import (
 )
 from handover.operators.keys import with_row_index
 from handover.session import ensure_checkpoint_dir
-from handover.schemas import SOURCE_SCHEMAS
+from handover.schemas import CUSTOMERS, SOURCE_SCHEMAS, SUPPLIERS
 from handover.sources.tables import conform, read_table
 
 # Fixed values of the fixture rules (FIXTURES.md part B).
@@ -240,7 +240,7 @@ def existing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target customers present before the migration."""
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    return c.filter((k % 25 == 0) & (k % 40 != 7)).select(
+    rows = c.filter((k % 25 == 0) & (k % 40 != 7)).select(
         customer_code("c_name").alias("customer_id"),
         F.col("c_name").alias("company_name"),
         _lit_null("string").alias("contact_name"),
@@ -251,6 +251,7 @@ def existing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lit_null("string").alias("postal_code"),
         F.lit(DEFAULT_COUNTRY).alias("country"),
     )
+    return conform(rows, CUSTOMERS, "customers")
 
 
 @_per_session
@@ -258,7 +259,7 @@ def existing_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target suppliers present before the migration."""
     s = read_table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
-    return s.filter((k % 4 == 0) & (k % 10 != 3)).select(
+    rows = s.filter((k % 4 == 0) & (k % 10 != 3)).select(
         (k + 1).cast("long").alias("supplier_id"),
         F.col("s_name").alias("company_name"),
         _lit_null("string").alias("phone"),
@@ -268,6 +269,7 @@ def existing_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lit_null("string").alias("postal_code"),
         F.lit(DEFAULT_COUNTRY).alias("country"),
     )
+    return conform(rows, SUPPLIERS, "suppliers")
 
 
 @_per_session
