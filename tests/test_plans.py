@@ -54,3 +54,15 @@ def test_order_lines_aggregate_once(spark):
     plan = _plan(QUERIES["q_load_order_details"](spark, SF_SMALL))
     final_aggs = [l for l in plan.splitlines() if "HashAggregate(keys=[batch_ref" in l and "partial_" not in l]
     assert len(final_aggs) == 1, final_aggs
+
+
+def test_category_reaches_part_scan(spark):
+    plan = _plan(QUERIES["q_purchase_report_category"](spark, SF_SMALL))
+    assert "EqualTo(p_type,PROMO)" in plan
+
+
+def test_loyal_report_reads_lines_once(spark):
+    df = QUERIES["q_loyal_customers"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan parquet [l_orderkey") == 1
