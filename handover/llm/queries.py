@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import zipfile
 
 import public_tokenizers
@@ -21,14 +20,13 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, "handover.zip")
-        with zipfile.ZipFile(path, "w") as z:
-            for base, _, names in os.walk(os.path.join(root, "handover")):
-                for name in names:
-                    if name.endswith(".py"):
-                        z.write(full := os.path.join(base, name), os.path.relpath(full, root))
-        spark.sparkContext.addPyFile(path)
+    path = os.path.join(spark.sparkContext._temp_dir, "handover.zip")  # kept as long as the driver's context
+    with zipfile.ZipFile(path, "w") as z:
+        for base, _, names in os.walk(os.path.join(root, "handover")):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(full := os.path.join(base, name), os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
 
 
