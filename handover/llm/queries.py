@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handover.llm import bpe, decontam, linededup, quality, simhash
+from handover.llm import bpe, decontam, linededup, lm, quality, simhash
 
 _SHIPPED: set[str] = set()
 
@@ -35,6 +35,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     measured = quality.scratch.write(quality.measure(docs).drop("text"), "measured")
@@ -67,26 +71,26 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_benchmark_decontamination, op7_bpe_encoding, op9_line_dedup, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_lm_scores, op3_quality_rules, op4_benchmark_decontamination, op7_bpe_encoding, op9_line_dedup, op10_simhash_near_dedup)}
 
 ORACLE: dict[str, str] = {
     "op9_line_dedup": """
 WITH line AS (
-  SELECT doc_id, text, a AS at, list[a + 1] AS raw,
+  SELECT doc_id, text, a AS place, list[a + 1] AS raw,
          regexp_replace(list[a + 1], '^[ \\x09-\\x0D]+|[ \\x09-\\x0D]+$', '', 'g') AS line
   FROM (SELECT doc_id, text, list, unnest(range(len(list))) AS a
         FROM (SELECT doc_id, text, string_split(text, chr(10)) AS list FROM documents))),
 counted AS (
-  SELECT doc_id, at, line AS x, lead(line) OVER w AS y, lead(line, 2) OVER w AS z, lead(at) OVER w AS at2, lead(at, 2) OVER w AS at3
-  FROM line WHERE line <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY at)),
+  SELECT doc_id, place, line AS x, lead(line) OVER w AS y, lead(line, 2) OVER w AS z, lead(place) OVER w AS place2, lead(place, 2) OVER w AS place3
+  FROM line WHERE line <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
 later AS (
-  SELECT doc_id, at, at2, at3 FROM (
-    SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, at) AS nth FROM counted WHERE z IS NOT NULL)
+  SELECT doc_id, place, place2, place3 FROM (
+    SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, place) AS nth FROM counted WHERE z IS NOT NULL)
   WHERE nth > 1),
-gone AS (SELECT doc_id, at FROM later UNION SELECT doc_id, at2 FROM later UNION SELECT doc_id, at3 FROM later)
-SELECT l.doc_id, count(*) AS n_lines, count(g.at) AS n_removed,
-       sha256(CASE WHEN count(g.at) = 0 THEN any_value(l.text)
-              ELSE coalesce(string_agg(l.raw, chr(10) ORDER BY l.at) FILTER (WHERE g.at IS NULL), '') END) AS text_sha256
-FROM line l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.at = g.at
+gone AS (SELECT doc_id, place FROM later UNION SELECT doc_id, place2 FROM later UNION SELECT doc_id, place3 FROM later)
+SELECT l.doc_id, count(*) AS n_lines, count(g.place) AS n_removed,
+       sha256(CASE WHEN count(g.place) = 0 THEN any_value(l.text)
+              ELSE coalesce(string_agg(l.raw, chr(10) ORDER BY l.place) FILTER (WHERE g.place IS NULL), '') END) AS text_sha256
+FROM line l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.place = g.place
 GROUP BY l.doc_id""",
 }
