@@ -9,8 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handover.llm import bpe, decontam, linededup, lm, quality, simhash
+from handover.llm import bpe, decontam, langid, lengths, linededup, lm, pii, quality, simhash, toxicity
 
+#: Key of the registered query; a real run passes its own secret.
+PSEUDONYM_KEY = b"pseudonym key of the registered query"
 _SHIPPED: set[str] = set()
 
 
@@ -39,6 +41,10 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     measured = quality.scratch.write(quality.measure(docs).drop("text"), "measured")
@@ -50,6 +56,14 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.suffix_sums(lengths.histogram(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     done = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded="decoded")
@@ -61,6 +75,11 @@ def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise_documents(docs, PSEUDONYM_KEY).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), F.to_json("pii").alias("replaced"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.remove_repeated_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
@@ -71,7 +90,19 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scores, op3_quality_rules, op4_benchmark_decontamination, op7_bpe_encoding, op9_line_dedup, op10_simhash_near_dedup)}
+_ALL = (
+    op1_lm_scores,
+    op2_language_id,
+    op3_quality_rules,
+    op4_benchmark_decontamination,
+    op5_token_counts,
+    op6_toxicity,
+    op7_bpe_encoding,
+    op8_pii_pseudonyms,
+    op9_line_dedup,
+    op10_simhash_near_dedup,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE: dict[str, str] = {
     "op9_line_dedup": """
