@@ -85,7 +85,7 @@ def label_model(votes: np.ndarray, lexicon: int, rounds: int = 50) -> tuple[np.n
 
     A voter that doesn't fire abstains: terms of one language say nothing on a
     text in another. One more voter, the last, fires if the whole lexicon is silent.
-    Expectation-maximisation, begun with a majority of the lexicon's voters (the
+    Classification EM, begun with a majority of the lexicon's voters (the
     first ``lexicon``) against silence. After some rounds the correlations within
     the classes discount voters that repeat others.
     """
@@ -96,6 +96,7 @@ def label_model(votes: np.ndarray, lexicon: int, rounds: int = 50) -> tuple[np.n
     own = np.ones(m)
     rates = np.full((2, m), 0.5)
     for step in range(rounds):
+        q = (q > 0.5).astype(float)  # each row counts for its likelier class, or abstaining rows pull the classes together
         weight = np.stack([1 - q, q])
         rates = (weight @ votes + 0.1) / (weight.sum(axis=1, keepdims=True) + 0.2)
         prior = np.clip(q.mean(), 1e-3, 1 - 1e-3)
