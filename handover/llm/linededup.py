@@ -48,7 +48,8 @@ def remove_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_i
     later = windows.join(repeated, ["h1", "h2"]).where((F.col("__row") != F.col("first.row")) | (F.col("a0") != F.col("first.at")))
     covered = later.groupBy("__row").agg(F.array_distinct(F.flatten(F.collect_list(F.array(*(f"a{i}" for i in range(_SIZE)))))).alias("__gone"))
     covered = scratch.write(covered, "line-covered")
-    cut = rows.join(covered, "__row", "left").withColumn("__all", F.split(F.col(f"`{text}`"), "\n", -1))
+    # the texts move once at every size; a hash join on the small side leaves them unsorted
+    cut = rows.join(covered.hint("shuffle_hash"), "__row", "left").withColumn("__all", F.split(F.col(f"`{text}`"), "\n", -1))
     n = F.coalesce(F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size("__all")), F.lit(0))
     stay = F.array_except(F.sequence(F.lit(0), F.size("__all") - 1), F.col("__gone"))
     left = F.array_join(F.transform(stay, lambda i: F.get(F.col("__all"), i)), "\n")
