@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from handover.llm import scratch
 from handover.llm.batches import chunks, codes, ragged, text_bytes, words
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
@@ -35,6 +35,8 @@ RULES = {
     "symbols": ("n_symbols / greatest(word_chars, 1)", _SHARES),
     "dup_lines": ("n_dup_lines / greatest(n_lines, 1)", _SHARES),
     "repeats": ("n_repeat_words / greatest(n_words, 1)", _SHARES),
+    "upper_case": ("n_upper / greatest(word_chars, 1)", _SHARES),
+    "marks": ("n_marks / greatest(n_words, 1)", _SHARES),
     "long_words": ("word_chars / greatest(n_words, 1)", tuple(float(x) for x in range(6, 31))),
     "short_words": ("-word_chars / greatest(n_words, 1)", tuple(-round(0.2 * x, 1) for x in range(25, 0, -1))),
 }
@@ -61,6 +63,7 @@ def measures(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
     symbol[[ord(c) for c in "#*$%&|<>"]] = True
     word_chars = per_row(~blank[data] & ((data & 0xC0) != 0x80))
     n_symbols = per_row(symbol[data])
+    n_upper, n_marks = per_row((data >= 65) & (data <= 90)), per_row(data == ord("!"))
     # lines with a word, equal to an earlier one of the row
     feed = np.flatnonzero(data == 0x0A)
     begin = np.unique(np.concatenate([off[:-1], feed + 1]))
@@ -96,7 +99,7 @@ def measures(data: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
             np.add.at(cover, twice, 1)
             np.add.at(cover, twice + WINDOW, -1)
             n_repeat = np.bincount(row[np.cumsum(cover)[:-1] > 0], minlength=rows)
-    return [n_words, word_chars, n_symbols, n_dup, n_repeat, n_lines]
+    return [n_words, word_chars, n_symbols, n_dup, n_repeat, n_lines, n_upper, n_marks]
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -145,7 +148,7 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang"
     tests = strata * sum(len(grid) for _, grid in RULES.values())
     limit = max_false_rejection / len(RULES)
 
-    def choose(key_, found: pd.DataFrame) -> pd.DataFrame:
+    def choose(key_: tuple, found: pd.DataFrame) -> pd.DataFrame:
         name = found["rule"].iloc[0]
         grid = RULES[name][1]
         n = int(found["good"].sum())

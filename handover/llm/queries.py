@@ -49,7 +49,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     measured = quality.scratch.write(quality.measure(docs).drop("text"), "measured")
     cutoffs = quality.choose_cutoffs(measured, _table(spark, sf_dir, "labels"))
-    return quality.judge(measured, quality.scratch.write(cutoffs, "chosen")).drop("lang", "n_lines")
+    return quality.judge(measured, quality.scratch.write(cutoffs, "chosen")).drop("lang")
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
