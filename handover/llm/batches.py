@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 #: The white space that separates words: space and \x09-\x0D.
 _SPACE = np.zeros(256, bool)
