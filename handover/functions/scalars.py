@@ -106,9 +106,9 @@ def int_div(num: Column, den: Column) -> Column:
 
 
 def round_half_up_div(num: Column, den: Column) -> Column:
-    """``round(num / den)`` half away from zero, exact on integers (den > 0)."""
-    q = int_div(F.abs(num) * 2 + den, den * 2)
-    return F.when(num < 0, -q).otherwise(q)
+    """``round(num / den)`` half away from zero, exact on integers of either sign (den not 0)."""
+    q = int_div(F.abs(num) * 2 + F.abs(den), F.abs(den) * 2)
+    return F.when((num < 0) != (den < 0), -q).otherwise(q)
 
 
 def json_object(**cols: Column | str) -> Column:

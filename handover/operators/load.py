@@ -215,8 +215,9 @@ def load_order_details(
     g = per_name.join(_products(products), F.col("__label") == F.col("__pname"), "inner").join(
         _orders(orders), F.col("batch_ref") == F.col("__bid"), "inner"
     )
-    num = money_to_units(F.col("total_value")) * money_to_units(F.col("pct_sum"))
-    den = F.lit(1000000) * F.col("quantity").cast("long")
+    # wider than long: a total of 461,168,602 at 100 % is 2**63 already
+    num = money_to_units(F.col("total_value")).cast("decimal(19,0)") * money_to_units(F.col("pct_sum")).cast("decimal(19,0)")
+    den = F.lit(1000000).cast("decimal(7,0)") * F.col("quantity").cast("decimal(19,0)")
     units = round_half_up_div(num, den)
     price = (units.cast("decimal(38,0)") * F.lit(Decimal("0.0001"))).cast(MONEY)
     ok = g.filter(F.col("quantity") != 0)
@@ -230,11 +231,15 @@ def order_detail_lineage(
 ) -> DataFrame:
     """Which source transactions went into which (order, product) line, one row
     per transaction and line (the n:m lineage, normalised rather than a
-    comma list, so no group is gathered into one value)."""
+    comma list, so no group is gathered into one value). Lines that are not
+    inserted (quantity zero or null) have no lineage."""
     t = _valid_lines(transactions_v)
     it = _items(items)
+    lines = t.join(it, t.item_ref == it["__iid"], "inner")
+    quantity = F.sum("qty")
+    not_inserted = lines.groupBy("batch_ref", "__label").agg(quantity.alias("q")).where("q is null or q = 0").drop("q")
     return (
-        t.join(it, t.item_ref == it["__iid"], "inner")
+        lines.join(not_inserted, ["batch_ref", "__label"], "left_anti")
         .join(_products(products), F.col("__label") == F.col("__pname"), "inner")
         .join(_orders(orders), F.col("batch_ref") == F.col("__bid"), "inner")
         .select("order_id", "product_id", "transaction_id")

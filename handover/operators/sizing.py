@@ -9,30 +9,19 @@ then broadcasts it only when it is under ``spark.sql.autoBroadcastJoinThreshold`
 -- a size check backed by measurement -- and keeps the shuffle join beyond
 that. The written copy also survives executor loss.
 
-Within a session, a plan that was already measured (same semantics, as
-``DataFrame.sameSemantics`` decides -- the lookup Spark's own cache uses)
-reuses its written copy. Inputs are assumed not to be rewritten in place
-during the session, as for ``DataFrame.cache``.
+Every call writes a new copy: a copy kept for a plan of the same meaning would
+go stale when the plan's input is written again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from handover.session import ensure_checkpoint_dir, scratch_path
+from handover.session import scratch_path
 
-_WRITTEN: dict[tuple[str, int], list[tuple[DataFrame, DataFrame]]] = {}
 
-
-def measured(df: DataFrame, name: str, reuse: bool = True) -> DataFrame:
+def measured(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
-    key = (ensure_checkpoint_dir(spark), df.semanticHash())
-    if reuse:
-        for plan, copy in _WRITTEN.get(key, []):
-            if df.sameSemantics(plan):
-                return copy
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    copy = spark.read.parquet(path)
-    _WRITTEN.setdefault(key, []).append((df, copy))
-    return copy
+    return spark.read.parquet(path)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from handover.operators.load import (
 from handover.operators.quality import with_quality_columns
 from handover.operators.validate import validate_all
 from handover.session import scratch_path
-from handover.sinks.publish import publish_run, table_path, write_table
+from handover.sinks.publish import publish_run, table_path, write_table, refuse_committed
 
 
 # File layout of published tables, in place of the source's two optional
@@ -202,8 +202,8 @@ def run_migration(
 ) -> Mapping[str, DataFrame]:
     """Migrate with validated and keyed tables written once, straight into the
     run's published location, then publish the rest and commit the run."""
-    o = options or MigrationOptions()
-    o.materialize, o.publish_root, o.run_id = True, root, run_id
+    refuse_committed(spark, root, run_id)
+    o = replace(options or MigrationOptions(), materialize=True, publish_root=root, run_id=run_id)
     out = migrate(spark, sources, targets, o)
     # builds (and writes) every step; internal hand-over frames are not published
     built = {name: out[name] for name in out if name not in INTERNAL_OUTPUTS}

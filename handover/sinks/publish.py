@@ -2,14 +2,16 @@
 
 Every output is written under ``<root>/<table>/run_id=<id>``; the run is
 appended to ``<root>/_runs`` only after all tables are written. Readers
-semi-join the ``_runs`` table, so a run that failed half-way is never seen,
-and a re-run of the same id overwrites only its own partition folders.
+semi-join the ``_runs`` table, so a run that failed half-way is never seen. A
+failed run's id may be used again and overwrites its own folders; a committed
+id is refused, since a failed second attempt would replace visible rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,7 @@ def publish_run(
     and logged to ``_run_log``; they are returned as well. Tables listed in
     ``already_written`` were written in place by the run and are only logged.
     """
+    refuse_committed(spark, root, run_id)
     counts: dict[str, int] = dict(already_written or {})
     for table, df in outputs.items():
         if table in counts:  # written in place by the run itself
@@ -65,10 +68,19 @@ def publish_run(
 def completed_runs(spark: SparkSession, root: str) -> DataFrame:
     try:
         return spark.read.parquet(f"{root.rstrip('/')}/{RUNS}")
-    except Exception:  # no run committed yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # no run committed yet
         return spark.createDataFrame([], "run_id string, finished_at timestamp_ntz, tables string")
 
 
+def refuse_committed(spark: SparkSession, root: str, run_id: str) -> None:
+    """Raise if the run id has been committed already."""
+    if completed_runs(spark, root).where(F.col("run_id") == F.lit(run_id)).limit(1).count():
+        raise ValueError(f"run {run_id!r} is committed under {root}; use a new run id")
+
+
 def read_published(spark: SparkSession, root: str, table: str, run_id: str | None = None) -> DataFrame:
     """Rows of committed runs only (optionally one run: partition pruning)."""
     df = spark.read.option("basePath", f"{root.rstrip('/')}/{table}").parquet(f"{root.rstrip('/')}/{table}")

@@ -41,7 +41,7 @@ _BUILT: dict[tuple, object] = {}
 def _dir_fingerprint(sf_dir: str) -> tuple:
     base = os.path.abspath(sf_dir)
     try:
-        return (base, tuple(sorted((f, os.stat(os.path.join(base, f)).st_size) for f in os.listdir(base))))
+        return (base, tuple(sorted((f, st.st_size, st.st_mtime_ns) for f in os.listdir(base) for st in [os.stat(os.path.join(base, f))])))
     except OSError:  # not a local path
         return (base,)
 

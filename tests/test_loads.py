@@ -67,6 +67,18 @@ def test_zero_quantity_is_quarantined(spark):
     orders = spark.createDataFrame([(9, 1, Decimal("10"))], "order_id long, batch_id int, total_value decimal(19,4)")
     out = LD.load_order_details(txn, items, products, orders)
     assert out["inserted"].count() == 0 and out["quarantined"].count() == 1
+    assert LD.order_detail_lineage(txn, items, products, orders).count() == 0  # nothing inserted, nothing logged
+
+
+def test_price_is_exact_for_either_sign_and_large_totals(spark):
+    schema = "transaction_id int, batch_ref int, item_ref int, qty int, amount string, is_valid boolean"
+    txn = spark.createDataFrame([(1, 1, 1, -2, "100%", True), (2, 2, 1, 3, "100%", True)], schema)
+    items = spark.createDataFrame([(1, "P")], "item_id int, label string")
+    products = spark.createDataFrame([(100, "P")], "product_id long, product_name string")
+    orders = spark.createDataFrame([(8, 1, Decimal("100")), (9, 2, Decimal("999999999"))], "order_id long, batch_id int, total_value decimal(19,4)")
+    got = {r.order_id: r.unit_price for r in LD.load_order_details(txn, items, products, orders)["inserted"].collect()}
+    assert got == {8: Decimal("-50.0000"), 9: Decimal("333333333.0000")}
+    assert LD.order_detail_lineage(txn, items, products, orders).count() == 2
 
 
 def test_pipeline_properties(spark):

@@ -15,10 +15,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(_SQL)
+    from handover.plans.queries import QUERIES
 
+    assert set(QUERIES) <= set(_SQL) <= set(E.queries())
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+
+@pytest.mark.parametrize("name", sorted(_SQL))
 def test_query_matches_oracle(spark, con, name):
     ok, info = compare(spark, name, E.queries()[name], _SQL[name], SF_SMALL, con)
     assert ok, info

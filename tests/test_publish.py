@@ -27,6 +27,14 @@ def test_publish_failure_leaves_nothing(spark):
     assert read_published(spark, root, "ok").count() == 0  # written, never committed
 
 
+def test_committed_run_is_not_replaced(spark):
+    root = tempfile.mkdtemp(prefix="pub-", dir="/tmp")
+    publish_run(spark, {"t": spark.range(3)}, root, "r1", dt.datetime(2024, 5, 1))
+    with pytest.raises(ValueError):
+        publish_run(spark, {"t": spark.range(7)}, root, "r1", dt.datetime(2024, 5, 1))
+    assert read_published(spark, root, "t").count() == 3
+
+
 def test_run_migration_publishes_each_table_once(spark):
     from handover.plans.migration import MigrationOptions, run_migration
     from handover.sources import fixtures as fx

@@ -105,3 +105,13 @@ def test_valid_plus_invalid_is_staged(spark):
         n = src[name].count()
         assert v[name].count() == n
         assert v[name].filter("is_valid").count() + v[name].filter("NOT is_valid").count() == n
+
+
+def test_duplicates_follow_a_rewritten_extract(spark, tmp_path):
+    path = str(tmp_path / "t")
+    names = ["transaction_id", *V.DUP_KEYS]
+    for rows, want in (([(1, 1), (2, 2)], set()), ([(3, 5), (4, 5)], {4})):
+        df = spark.createDataFrame([(i, *[k] * (len(names) - 1)) for i, k in rows], names)
+        df.write.mode("overwrite").parquet(path)
+        found = V._with_survivor(spark.read.parquet(path))
+        assert {r.transaction_id for r in found.collect() if r.survivor_id != r.transaction_id} == want
