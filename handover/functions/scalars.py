@@ -19,10 +19,9 @@ PERCENT_MARK = "%"       # Transactions.amount, e.g. "40%"
 DEFAULT_COUNTRY = "USA"
 # Customer code: first character of the trimmed name + first 4 hex digits of
 # SHA-1 over the name's UTF-16LE bytes (the server's NVARCHAR encoding),
-# upper-cased; the name parameter is declared with 255 characters.
+# upper-cased; the whole name counts.
 CODE_HASH_CHARSET = "UTF-16LE"
 CODE_HASH_DIGITS = 4
-CODE_NAME_MAX = 255
 
 MONEY = DecimalType(19, 4)
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -70,7 +69,7 @@ def strict_money(c: Column | str, mark: str | None = None) -> Column:
 
 def customer_code(c: Column | str) -> Column:
     """Five-character customer code; null for a null or blank name."""
-    t = F.trim(F.substring(F.coalesce(_col(c), F.lit("")), 1, CODE_NAME_MAX))
+    t = F.trim(F.coalesce(_col(c), F.lit("")))
     digest = F.sha1(F.encode(t, CODE_HASH_CHARSET))
     code = F.upper(F.concat(F.substring(t, 1, 1), F.substring(digest, 1, CODE_HASH_DIGITS)))
     return F.when(F.length(t) > 0, code)

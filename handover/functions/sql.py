@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-_TRIMMED = "trim(substring(coalesce(name, ''), 1, 255))"
+_TRIMMED = "trim(coalesce(name, ''))"
 
 SQL_FUNCTIONS: dict[str, str] = {
     "customer_code": f"""(name STRING) RETURNS STRING RETURN

@@ -22,16 +22,14 @@ ties.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from handover.session import scratch_path
 
 _PID = "__ho_pid"
 _POS = "__ho_pos"
-_OFF = "__ho_off"
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | position
-_MAX_LITERAL_OFFSETS = 100_000  # beyond this many partitions, join a broadcast offsets table
 
 
 def _order_cols(cols) -> list[Column]:
@@ -68,26 +66,16 @@ def with_row_index(
     # One row per partition: the size of this result is bounded by the
     # partition count, not by the data (as RDD.zipWithIndex does).
     sizes = {r[0]: r[1] for r in ranged.groupBy(_PID).count().collect()}
-    if len(sizes) <= _MAX_LITERAL_OFFSETS:
-        acc, offsets = 0, []
-        for pid in range(max(sizes, default=-1) + 1):
-            offsets.append(acc)
-            acc += sizes.get(pid, 0)
-        # A single folded literal: the key is then a narrow projection, with
-        # no join, window or shuffle in the plans that read it.
-        table = F.split(F.lit(",".join(map(str, offsets)) or "0"), ",").cast("array<bigint>")
-        off = F.element_at(table, (F.col(_PID) + 1).cast("int"))
-        return ranged.withColumn(name, (start_col + off + F.col(_POS)).cast("long")).drop(_PID, _POS)
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__ho_n"))
-    offsets_df = counts.select(
-        _PID,
-        (F.sum("__ho_n").over(Window.orderBy(_PID)) - F.col("__ho_n")).alias(_OFF),
-    )
-    return (
-        ranged.join(F.broadcast(offsets_df), _PID, "inner")
-        .withColumn(name, (start_col + F.col(_OFF) + F.col(_POS)).cast("long"))
-        .drop(_PID, _POS, _OFF)
-    )
+    acc, offsets = 0, []
+    for pid in range(max(sizes, default=-1) + 1):
+        offsets.append(acc)
+        acc += sizes.get(pid, 0)
+    # A single folded literal, as long as the session's number of shuffle
+    # partitions: the key is then a narrow projection, with no join, window or
+    # shuffle in the plans that read it.
+    table = F.split(F.lit(",".join(map(str, offsets)) or "0"), ",").cast("array<bigint>")
+    off = F.element_at(table, (F.col(_PID) + 1).cast("int"))
+    return ranged.withColumn(name, (start_col + off + F.col(_POS)).cast("long")).drop(_PID, _POS)
 
 
 def with_surrogate_key(

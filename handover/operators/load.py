@@ -89,6 +89,46 @@ def load_customers(entities_v: DataFrame, locations: DataFrame, existing: DataFr
     }
 
 
+def orders_unmatched(batches_v: DataFrame, entities_v: DataFrame, locations: DataFrame, customers: DataFrame) -> DataFrame:
+    """(batch_id, entity_id, company_name, reason): valid batches whose entity is no target customer, so no order is made.
+
+    ``NO_NAME``: the entity's name is blank. ``CODE_CLASH``: another customer, new
+    or there before, has its code. ``NO_ADDRESS``: its location is unknown.
+    ``NOT_A_CUSTOMER``: its flag isn't A. The reason is found per entity, before the
+    batches are joined.
+    """
+    ent = entities_v.select("entity_id", "type_flag", F.col("entity_label").alias("company_name"))
+    known = customers.filter(~is_blank("company_name")).select("company_name")
+    lost = ent.filter(~is_blank("company_name")).join(known, "company_name", "left_anti")
+    lost = lost.unionByName(ent.filter(is_blank("company_name")))
+    candidates = customer_candidates(entities_v, locations).select("entity_id", F.lit(True).alias("__candidate"))
+    reason = (
+        F.when(is_blank("company_name"), "NO_NAME")
+        .when(F.col("__candidate"), "CODE_CLASH")
+        .when(F.upper("type_flag") == "A", "NO_ADDRESS")
+        .otherwise("NOT_A_CUSTOMER")
+    )
+    lost = lost.join(candidates, "entity_id", "left").select("entity_id", "company_name", reason.alias("reason"))
+    b = batches_v.filter(_valid(batches_v)).select("batch_id", F.col("reference_id").alias("entity_id"))
+    return b.join(lost, "entity_id").select("batch_id", "entity_id", "company_name", "reason")
+
+
+def lines_unmatched(transactions_v: DataFrame, items: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
+    """(transaction_id, batch_ref, item_ref, reason): valid lines that go into no order line.
+
+    ``ORDER_NOT_LOADED``: the batch has no order; else ``PRODUCT_NOT_LOADED``: the
+    item is unknown or no product has its name.
+    """
+    placed = orders.select(F.col("batch_id").alias("batch_ref"), F.lit(True).alias("__placed")).distinct()
+    made = items.join(products.select(F.col("product_name").alias("label")).distinct(), "label", "left_semi")
+    made = made.select(F.col("item_id").alias("item_ref"), F.lit(True).alias("__made")).distinct()
+    t = transactions_v.filter(_valid(transactions_v)).select("transaction_id", "batch_ref", "item_ref")
+    t = t.join(placed, "batch_ref", "left").join(made, "item_ref", "left")
+    t = t.filter(F.col("__placed").isNull() | F.col("__made").isNull())
+    reason = F.when(F.col("__placed").isNull(), "ORDER_NOT_LOADED").otherwise("PRODUCT_NOT_LOADED")
+    return t.select("transaction_id", "batch_ref", "item_ref", reason.alias("reason"))
+
+
 SUPPLIER_COLS = ["supplier_id", "company_name", "phone", "address", "city", "region", "postal_code", "country"]
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from handover.operators import lineage as lin
+from handover.operators import load
 from handover.operators.load import (
     load_customers,
     load_order_details,
@@ -183,6 +184,14 @@ def migrate(
             "products_inserted": prod_ins,
             "orders_inserted": ord_ins,
             "orders_quarantined": lambda: orders()["quarantined"],
+            "orders_unmatched": once(
+                "orders_unmatched",
+                lambda: load.orders_unmatched(validated()["batches"], validated()["entities"], validated()["locations"], customers_all()),
+            ),
+            "lines_unmatched": once(
+                "lines_unmatched",
+                lambda: load.lines_unmatched(validated()["transactions"], validated()["items"], prod_ins(), ord_ins()),
+            ),
             "orders_candidates": lambda: orders()["candidates"],
             "order_details_inserted": lambda: lines()["inserted"],
             "order_details_quarantined": lambda: lines()["quarantined"],

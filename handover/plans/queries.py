@@ -173,6 +173,14 @@ def q_customer_code_collisions(spark, d):
     return _migration(spark, d)["customer_code_collisions"]
 
 
+def q_orders_unmatched(spark, d):
+    return _migration(spark, d)["orders_unmatched"]
+
+
+def q_lines_unmatched(spark, d):
+    return _migration(spark, d)["lines_unmatched"]
+
+
 def q_orders_quarantined(spark, d):
     q = _migration(spark, d)["orders_quarantined"]
     return q.select("batch_id", "order_date", "customer_id")

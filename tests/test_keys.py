@@ -42,12 +42,9 @@ def test_row_index_with_coalesced_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_row_index_broadcast_fallback(spark, monkeypatch):
-    import handover.operators.keys as K
-
-    monkeypatch.setattr(K, "_MAX_LITERAL_OFFSETS", 0)
+def test_row_index_with_start_over_many_ranges(spark):
     rows = [(i % 17, i) for i in range(1500)]
     df = spark.createDataFrame(rows, "a int, id int")
-    got = K.with_row_index(df, ["a", "id"], "k", start=5, num_partitions=6)
+    got = with_row_index(df, ["a", "id"], "k", start=5, num_partitions=300)
     exp = {r[1]: n + 5 for n, r in enumerate(sorted(rows))}
     assert {r.id: r.k for r in got.collect()} == exp

@@ -145,3 +145,27 @@ def test_order_name_join_fans_out(spark):
     # batch 1 matches two customers of one name: two orders (ids in batch, customer order)
     assert got == [(1, "TAAAA", 1), (1, "TBBBB", 2), (2, "SCCCC", 3)]
     assert {r.order_date for r in out.collect()} == {dt.datetime(2024, 5, 1)}
+
+
+def test_every_valid_batch_and_line_is_accounted_for(spark):
+    src = fx.sources(spark, SF_SMALL)
+    targets = {"customers": fx.existing_customers(spark, SF_SMALL), "suppliers": fx.existing_suppliers(spark, SF_SMALL)}
+    out = migrate(spark, src, targets, MigrationOptions())
+    ids = lambda df, c: {r[0] for r in df.select(c).collect()}
+    valid = ids(out["validated_batches"].filter("is_valid"), "batch_id")
+    loaded, held, lost = (ids(out[n], "batch_id") for n in ("orders_inserted", "orders_quarantined", "orders_unmatched"))
+    assert valid == loaded | held | lost and not loaded & lost and not held & lost and lost
+    lines = ids(out["validated_transactions"].filter("is_valid"), "transaction_id")
+    in_order, without = ids(out["order_detail_lineage"], "transaction_id"), ids(out["lines_unmatched"], "transaction_id")
+    assert lines == in_order | without and not in_order & without
+
+
+def test_reason_of_an_unmatched_batch(spark):
+    loc = spark.createDataFrame([(1, "a", "b", "c", "d")], LOC)
+    ent = spark.createDataFrame(
+        [(1, "Known", "A", 1, "p", True), (2, "Clash", "A", 1, "p", True), (3, "Far", "A", 9, "p", True), (4, "Maker", "B", 1, "p", True), (5, " ", None, 1, "p", True)], ENT
+    )
+    customers = spark.createDataFrame([("K0000", "Known")], "customer_id string, company_name string")
+    batches = spark.createDataFrame([(10 * i, i, True) for i in range(1, 6)] + [(99, None, False)], "batch_id int, reference_id int, is_valid boolean")
+    got = {r.batch_id: r.reason for r in LD.orders_unmatched(batches, ent, loc, customers).collect()}
+    assert got == {20: "CODE_CLASH", 30: "NO_ADDRESS", 40: "NOT_A_CUSTOMER", 50: "NO_NAME"}

@@ -64,7 +64,7 @@ def test_parse_percent_matches_rules(spark, values):
 def _ref_code(name):
     import hashlib
 
-    t = ("" if name is None else name)[:255].strip(" ")
+    t = ("" if name is None else name).strip(" ")
     if not t:
         return None
     return (t[0] + hashlib.sha1(t.encode("utf-16-le")).hexdigest()[:4]).upper()
