@@ -33,6 +33,7 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BY
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()  # a reused worker would hold the largest batch's memory
 
 
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
