@@ -56,6 +56,8 @@ def cmd_migrate(args: argparse.Namespace) -> int:
         strict_type=args.strict_type,
         enforce_batch_rules=args.enforce_batch_rules,
         on_bad_total=args.on_bad_total,
+        on_code_collision=args.on_code_collision,
+        on_violation=args.on_violation,
     )
     out = run_migration(spark, sources, targets, args.root, args.run_id, opts)
     print(json.dumps({"run_id": args.run_id, "root": args.root, "tables": out.written}))
@@ -91,6 +93,8 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--strict-type", action="store_true")
     m.add_argument("--enforce-batch-rules", action="store_true")
     m.add_argument("--on-bad-total", choices=["quarantine", "fail"], default="quarantine")
+    m.add_argument("--on-code-collision", choices=["report", "fail"], default="report")
+    m.add_argument("--on-violation", choices=["report", "fail", "quarantine"], default="report")
     m.set_defaults(fn=cmd_migrate)
 
     r = sub.add_parser("purchase-report", help="customer purchase report")

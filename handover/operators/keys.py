@@ -11,8 +11,7 @@
 3. count rows per partition (a tiny aggregate: one row per partition, so its
    size is bounded by the partition count, not by the data -- the way
    ``RDD.zipWithIndex`` computes its start indices) and turn the counts into
-   cumulative offsets, held as one literal array (or, past 100,000
-   partitions, a broadcast table);
+   cumulative offsets, held as one literal array;
 4. key = start + offset of the partition + position inside the partition.
 
 The result equals ``row_number() OVER (ORDER BY order_cols)`` when the

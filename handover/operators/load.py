@@ -27,6 +27,10 @@ from handover.functions.scalars import (
 from handover.operators.merge import append_with_keys, insert_missing, union_target
 
 
+class CodeCollisionError(ValueError):
+    """Two new customers have one code (the source run breaks its key here)."""
+
+
 class BadTotalError(ValueError):
     """A valid batch has no parseable total (the source run fails here)."""
 
@@ -64,14 +68,19 @@ def customer_candidates(entities_v: DataFrame, locations: DataFrame) -> DataFram
 CUSTOMER_COLS = ["customer_id", "company_name", "phone", "address", "city", "region", "postal_code", "country"]
 
 
-def load_customers(entities_v: DataFrame, locations: DataFrame, existing: DataFrame) -> dict[str, DataFrame]:
+def load_customers(
+    entities_v: DataFrame, locations: DataFrame, existing: DataFrame, on_code_collision: str = "report"
+) -> dict[str, DataFrame]:
     """Insert customers whose code is not yet in the target.
 
     Two new entities with one code would both be 'not matched' and break the
     key; the lowest entity id wins and the others go to ``collisions``. The
     winner is picked by ``min(struct(entity_id, ...))`` per code, an
     aggregate with map-side combine, so a very common code is not one task.
+    ``on_code_collision="fail"`` raises instead, if there is any.
     """
+    if on_code_collision not in ("report", "fail"):
+        raise ValueError(f"on_code_collision: {on_code_collision!r}")
     cand = customer_candidates(entities_v, locations).filter(F.col("customer_id").isNotNull())
     new = insert_missing(existing, cand, ["customer_id"])
     rest = [c for c in new.columns if c not in ("customer_id", "entity_id")]
@@ -81,6 +90,8 @@ def load_customers(entities_v: DataFrame, locations: DataFrame, existing: DataFr
     collisions = new.join(
         winners.select("customer_id", F.col("entity_id").alias("winner_entity_id")), "customer_id", "inner"
     ).filter(F.col("entity_id") != F.col("winner_entity_id"))
+    if on_code_collision == "fail" and collisions.limit(1).count() > 0:  # an existence probe, not a collect
+        raise CodeCollisionError("two new customers have one code")
     inserted = winners.select("entity_id", *CUSTOMER_COLS)
     return {
         "inserted": inserted,

@@ -105,8 +105,5 @@ def enforce(df: DataFrame, violations: DataFrame, key: str, mode: str = "fail")
     if mode != "quarantine":
         raise ValueError(f"mode: {mode!r}")
     keys = violations.select(F.col("key_value").alias("__k")).distinct()
-    k = F.col(key).cast("string")
-    return {
-        "clean": df.join(keys, k == F.col("__k"), "left_anti"),
-        "quarantined": df.join(keys, k == F.col("__k"), "left_semi"),
-    }
+    same = F.col(key).cast("string").eqNullSafe(F.col("__k"))  # a null key is a breach itself
+    return {"clean": df.join(keys, same, "left_anti"), "quarantined": df.join(keys, same, "left_semi")}

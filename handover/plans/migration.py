@@ -26,8 +26,9 @@ from handover.operators.load import (
     load_suppliers,
     order_detail_lineage,
 )
-from handover.operators.quality import with_quality_columns
+from handover.operators.quality import constraint_violations, enforce, staging_violations, with_quality_columns
 from handover.operators.validate import validate_all
+from handover.schemas import SOURCE_KEYS
 from handover.session import scratch_path
 from handover.sinks.publish import publish_run, table_path, write_table, refuse_committed
 
@@ -48,14 +49,15 @@ INTERNAL_OUTPUTS = frozenset({"orders_candidates"})
 
 @dataclass
 class MigrationOptions:
-    as_of: dt.datetime = dt.datetime(2024, 5, 1)
+    as_of: dt.datetime = field(default_factory=lambda: dt.datetime.now().replace(microsecond=0))
     strict_type: bool = False          # entity rules as intended, not as the source's precedence
     enforce_batch_rules: bool = False  # apply the batch percent rule in the cascade
     on_bad_total: str = "quarantine"   # or "fail"
+    on_code_collision: str = "report"  # or "fail"
+    on_violation: str = "report"       # declared constraints, in run_migration; or "fail", "quarantine"
     materialize: bool = False          # write intermediate tables once, then read them back
     publish_root: str | None = None    # write them straight into this run's published location
     run_id: str | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def _materialize(spark: SparkSession, df: DataFrame, name: str, o: "MigrationOptions", written: dict[str, int]) -> DataFrame:
@@ -132,7 +134,7 @@ def migrate(
         return {k: keep(df, f"validated_{k}") for k, df in v.items()}
 
     validated = once("validated", _validated)
-    cust = once("cust", lambda: load_customers(validated()["entities"], validated()["locations"], targets["customers"]))
+    cust = once("cust", lambda: load_customers(validated()["entities"], validated()["locations"], targets["customers"], o.on_code_collision))
     cust_ins = once("cust_ins", lambda: keep(cust()["inserted"], "customers_inserted"))
 
     def _customers_all():
@@ -201,6 +203,27 @@ def migrate(
     )
 
 
+def check_sources(sources: dict[str, DataFrame], mode: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The sources to load, and the tables to publish about their declared constraints.
+
+    ``"report"`` loads all rows; ``"fail"`` raises on any breach, as the source's
+    failing statement ends its run; ``"quarantine"`` sets the rows with a breach aside.
+    """
+    if mode not in ("report", "fail", "quarantine"):
+        raise ValueError(f"on_violation: {mode!r}")
+    about = {"source_violations": staging_violations(sources)}
+    if mode == "report":
+        return sources, about
+    clean = {}
+    for t, df in sources.items():
+        breaches = constraint_violations(df, t, SOURCE_KEYS[t], primary_key=SOURCE_KEYS[t])
+        split = enforce(df, breaches, SOURCE_KEYS[t], mode)
+        clean[t] = split["clean"]
+        if mode == "quarantine":
+            about[f"quarantined_{t}"] = split["quarantined"]
+    return clean, about
+
+
 def run_migration(
     spark: SparkSession,
     sources: dict[str, DataFrame],
@@ -210,12 +233,15 @@ def run_migration(
     options: MigrationOptions | None = None,
 ) -> Mapping[str, DataFrame]:
     """Migrate with validated and keyed tables written once, straight into the
-    run's published location, then publish the rest and commit the run."""
+    run's published location, then publish the rest and commit the run. Breaches of the
+    declared constraints are published too, or stop the run before it writes
+    (``MigrationOptions.on_violation``)."""
     refuse_committed(spark, root, run_id)
     o = replace(options or MigrationOptions(), materialize=True, publish_root=root, run_id=run_id)
+    sources, about = check_sources(sources, o.on_violation)
     out = migrate(spark, sources, targets, o)
     # builds (and writes) every step; internal hand-over frames are not published
-    built = {name: out[name] for name in out if name not in INTERNAL_OUTPUTS}
+    built = {name: out[name] for name in out if name not in INTERNAL_OUTPUTS} | about
     built = {n: df.sortWithinPartitions(*PUBLISH_LAYOUT[n]) if n in PUBLISH_LAYOUT else df for n, df in built.items()}
     publish_run(spark, built, root, run_id, o.as_of, already_written=out.written)
     return out

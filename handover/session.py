@@ -50,11 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="handover-ckpt-", dir="/tmp")
         spark.conf.set(CHECKPOINT_CONF, current)
-    try:  # for DataFrame.checkpoint(); not available on a Spark Connect client
+    try:  # for DataFrame.checkpoint()
         spark.sparkContext.setCheckpointDir(current)
-    except Exception:
+    except (AttributeError, NotImplementedError):  # a Spark Connect client has no context
         pass
     return current
 

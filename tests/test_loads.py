@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from handover.operators import load as LD
@@ -31,6 +32,8 @@ def test_customer_collision_keeps_lowest_entity(spark):
     ins = {r.customer_id: r.entity_id for r in out["inserted"].collect()}
     assert ins["A693C"] == 3 and len(ins) == 2
     assert [r.entity_id for r in out["collisions"].collect()] == [7]
+    with pytest.raises(LD.CodeCollisionError):
+        LD.load_customers(ent, loc, existing, on_code_collision="fail")
     # second run: everything matches, nothing is inserted
     again = LD.load_customers(ent, loc, out["target"])
     assert again["inserted"].count() == 0

@@ -2,6 +2,7 @@ import datetime as dt
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from handover.sinks.publish import publish_run, read_published, write_table
 
@@ -54,6 +55,28 @@ def test_run_migration_publishes_each_table_once(spark):
     assert lines.join(orders, "order_id", "left_anti").count() == 0
 
 
+def test_constraint_modes_of_a_run(spark):
+    from handover.operators.quality import ConstraintViolation
+    from handover.plans.migration import check_sources
+    from handover.sources import fixtures as fx
+    from conftest import SF_SMALL
+
+    loc = fx.sources(spark, SF_SMALL)["locations"]
+    twice = loc.orderBy("location_id").limit(1)
+    nameless = twice.withColumn("location_id", F.lit(None).cast(loc.schema["location_id"].dataType))
+    src = {"locations": loc.unionByName(twice).unionByName(nameless)}
+    same, about = check_sources(src, "report")
+    assert same is src and about["source_violations"].where("table_name = 'locations' and rule like '%KEY%'").count() == 2
+    with pytest.raises(ConstraintViolation):
+        check_sources(src, "fail")
+    clean, about = check_sources(src, "quarantine")
+    assert about["quarantined_locations"].count() >= 3  # both copies and the null key
+    assert clean["locations"].count() + about["quarantined_locations"].count() == src["locations"].count()
+    assert clean["locations"].where("location_id is null").count() == 0
+    with pytest.raises(ValueError):
+        check_sources(src, "ignore")
+
+
 def test_command_line(spark):
     from handover.__main__ import main
     from handover.sinks.publish import completed_runs

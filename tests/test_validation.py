@@ -115,3 +115,10 @@ def test_duplicates_follow_a_rewritten_extract(spark, tmp_path):
         df.write.mode("overwrite").parquet(path)
         found = V._with_survivor(spark.read.parquet(path))
         assert {r.transaction_id for r in found.collect() if r.survivor_id != r.transaction_id} == want
+
+
+def test_null_references_are_spread(spark):
+    bat = spark.createDataFrame([(i, None if i % 3 else 1, "1", "1") for i in range(300)], "batch_id int, reference_id int, total_value string, batch_date string")
+    ent = spark.createDataFrame([(i, True) for i in range(300)], "entity_id int, is_valid boolean")
+    got = V.validate_batches(bat, ent)
+    assert got.count() == 300 and got.where("is_valid").count() == 100  # null ids meet no entity of their own number
