@@ -234,6 +234,30 @@ def test_decontamination(spark):
     assert decontam.find_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_repeated_shingles(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([104, 204, 204, 9])]
+    items.append((4, " ".join([word() for _ in range(20)] + ["la"] * 30 + [word() for _ in range(20)])))
+    given = []
+    for i in range(20):
+        v = items[i % 5][1].split()
+        kept = v[: {104: 93, 204: 182, 9: 8, 70: 64}[len(v)]]
+        given.append((i, " ".join([word() for _ in range(5)] + kept + ([] if len(v) == 9 else ["no"] * (len(v) - len(kept) + i)))))
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontam.find_leaks(docs, bench).collect()}
+    want = brute_leaks(given, items)
+    assert len(want) == 20 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_decontamination_radius():
+    # 4 of 5 shingles: a bit differs if the four tie and the fifth decides, 6/16 x 1/2
+    assert math.isclose(decontam._differ(4, 1, 0), 3 / 16)
+    allowed = decontam.radii(0.8)
+    assert allowed[:4] == [0] * 4 and sum(math.comb(64, i) * (3 / 16) ** i * (13 / 16) ** (64 - i) for i in range(allowed[4] + 1, 65)) <= 1e-9
+
+
 # --- op3 quality
 
 
