@@ -4,7 +4,9 @@ Each value found is validated, read as a whole number below the number of valid
 values of its kind, permuted by a keyed Feistel network over exactly that range
 (cycle walking), and written back in the same format. The permutation depends on
 the key and the kind only: equal values get equal pseudonyms in all documents,
-different ones different pseudonyms, and the key's holder can reverse them.
+different ones different pseudonyms, and the key's holder can reverse them. Where
+a format has several readings (day or month first, ten-digit plan or not), the
+walk goes on until the pseudonym has the reading of its value.
 
 | kind | valid | permuted |
 |-|-|-|
@@ -62,6 +64,14 @@ def permute(value: int, size: int, key: bytes, tweak: str, back: bool = False) -
             return value
 
 
+def _walk(value: int, size: int, turn: Callable, fits: Callable[[int], bool]) -> int:
+    """The permutation of the values that fit: a value that fits is turned until it fits again."""
+    while True:
+        value = turn(value, size)
+        if fits(value):
+            return value
+
+
 def _refill(text: str, fresh: str) -> str:
     """``text`` with its letters and digits replaced in order."""
     it = iter(fresh)
@@ -100,8 +110,14 @@ def _iban(text: str, turn: Callable) -> str | None:
     number = lambda s: int("".join(str(int(c, 36)) for c in s))
     if not 15 <= len(raw) <= 34 or number(raw[4:] + raw[:4]) % 97 != 1:
         return None
-    body = _by_class(raw[4:], turn)
-    return _refill(text, raw[:2] + f"{98 - number(body + raw[:2] + '00') % 97:02d}" + body)
+    check = lambda body: 98 - number(body + raw[:2] + "00") % 97
+    other = int(raw[2:4]) - check(raw[4:])  # 00, 01 and 99 have the remainders of 97, 98 and 02
+    body = raw[4:]
+    while True:
+        body = _by_class(body, turn)
+        if not other or (check(body) < 3) == (other > 0) and not 2 < check(body) < 97:
+            break
+    return _refill(text, raw[:2] + f"{check(body) + other:02d}" + body)
 
 
 def _by_class(text: str, turn: Callable) -> str:
@@ -122,13 +138,15 @@ def _by_class(text: str, turn: Callable) -> str:
 def _phone(text: str, turn: Callable) -> str | None:
     country = re.match(r"\+\d{1,3}(?=[ .(-])|", text).group()
     d = re.sub(r"\D", "", text[len(country) :])
-    if len(d) == 10 and country in ("", "+1") and d[0] > "1" and d[3] > "1":
+    plan = lambda d: len(d) == 10 and country in ("", "+1") and d[0] > "1" and d[3] > "1"
+    if plan(d):
         index = (int(d[:3]) - 200) * 800 * 10**4 + (int(d[3:6]) - 200) * 10**4 + int(d[6:])
         rest, line = divmod(turn(index, 800 * 800 * 10**4), 10**4)
         area, exchange = divmod(rest, 800)
         return country + _refill(text[len(country) :], f"{area + 200}{exchange + 200}{line:04d}")
     if country and 7 <= len(d) <= 14:
-        return country + _refill(text[len(country) :], str(turn(int(d), 10 ** len(d))).zfill(len(d)))
+        digits = lambda v: str(v).zfill(len(d))
+        return country + _refill(text[len(country) :], digits(_walk(int(d), 10 ** len(d), turn, lambda v: not plan(digits(v)))))
     return None
 
 
@@ -150,7 +168,8 @@ def _date(text: str, turn: Callable) -> str | None:
             continue
         if not 0 <= day < _DAYS:
             continue
-        new = dt.date.fromordinal(_FIRST_DAY + turn(day, _DAYS))
+        # the second order is read only if the first has no such month: so must its pseudonym
+        new = dt.date.fromordinal(_FIRST_DAY + _walk(day, _DAYS, turn, lambda v: order == orders[0] or dt.date.fromordinal(_FIRST_DAY + v).day > 12))  # noqa: B023
         # two digits always: which field is the month shows in the value only if it is over 12
         return mark.join(f"{getattr(new, {'y': 'year', 'm': 'month', 'd': 'day'}[c]):0{4 if c == 'y' else 2}d}" for c in order)
     return None

@@ -404,6 +404,31 @@ def test_pseudonyms_round_trip(value):
     assert pii.pseudonymise(text, b"other")[0] != new
 
 
+def test_pseudonyms_of_either_reading():
+    days = [(d, m, y) for y in (1931, 1999) for m in range(1, 13) for d in range(1, 29)]
+    areas = [f"{a:03d}" for a in range(0, 1000, 7)]
+    kinds = [
+        {f"{a:02d}{mark}{b:02d}{mark}{y}" for d, m, y in days for a, b in ((d, m), (m, d))} for mark in "/-."
+    ] + [{f"+1 ({a}) {e}-{n}" for a in areas for e in ("017", "155", "555") for n in ("7713", "0000")}]
+    for values in kinds:
+        made = {v: pii.pseudonymise(v, KEY)[0] for v in values}
+        assert len(set(made.values())) == len(values)
+        assert all(pii.pseudonymise(new, KEY, back=True)[0] == v for v, new in made.items())
+
+
+def test_iban_pseudonyms_keep_other_check_digits():
+    number = lambda t: int("".join(str(int(c, 36)) for c in t))
+    seen = set()
+    for i in range(600):
+        body = f"{i:018d}"
+        for c in range(100):
+            value = f"DE{c:02d}{body}"
+            if number(body + value[:4]) % 97 == 1:
+                new = pii.pseudonymise(value, KEY)[0]
+                assert number(new[4:] + new[:4]) % 97 == 1 and new not in seen and pii.pseudonymise(new, KEY, back=True)[0] == value
+                seen.add(new)
+
+
 @pytest.mark.parametrize("value", ["4111 1111 1111 1112", "000-12-3456", "999.1.1.1", "2023-02-30", "12345", "1.2.3.4.5", "@nobody"])
 def test_invalid_values_stay(value):
     assert pii.pseudonymise(f"x {value} y", KEY) == (f"x {value} y", [])
