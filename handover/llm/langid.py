@@ -5,7 +5,8 @@ letters lower-cased, other ASCII read as blanks). Each is hashed to one of
 ``BUCKETS`` embedding rows; the text is their average, and a linear softmax
 gives the language. Embeddings and softmax are trained together by stochastic
 gradient descent in numpy, on a bounded sample: ``PER_LANGUAGE`` documents per
-language are expected, picked by a hash of the key. A fifth of the sample is kept
+language at most, those with the least hashes of key and text; equal rows count
+once. A fifth of the sample is kept
 out to calibrate: a temperature that fits the probabilities, and the probability
 below which a prediction is rejected (``accuracy`` is met above it).
 """
@@ -16,9 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from handover.llm import scratch
 from handover.llm.batches import chunks, text_bytes
 from handover.llm.lm import held_out
 
@@ -116,12 +118,21 @@ class LanguageModel:
 def _sample(docs: DataFrame) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray, int]], list[tuple[np.ndarray, np.ndarray, int]]]:
     """Languages and the counted subwords of the sample: those to train on, those to calibrate on."""
     known = docs.where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not sizes:
+    known = known.withColumn("draw", F.xxhash64(F.col("key").cast("string"), F.col("text"), F.lit("draw")))
+    draws = scratch.write(known.select("lang", "draw").distinct(), "draws")
+    top = draws.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    top = scratch.write(top, "languages")
+    languages = sorted(r["lang"] for r in top.collect())
+    if not languages:
         return [], [], []
-    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, PER_LANGUAGE / n)))
-    draw = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit("draw")), F.lit(1_000_000)) / 1_000_000
-    picked = known.where(draw < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)))
+    # twice as many as are picked are expected below the first bound, so the order is made of few
+    place = F.col("draw") / 2.0**64 + 0.5
+    below = draws.join(F.broadcast(top), "lang").where(place <= 2.0 * PER_LANGUAGE / F.col("n"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    picks = scratch.write(below.withColumn("nth", nth).where(F.col("nth") <= PER_LANGUAGE).select("lang", "draw"), "picks")
+    # one of equal rows, found before the shuffle
+    picked = known.join(F.broadcast(picks), ["lang", "draw"]).groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    picked = picked.select("lang", "text", F.pmod(F.xxhash64("draw", F.lit("part")), F.lit(5)).cast("int").alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text", 1 << 20):
@@ -131,9 +142,7 @@ def _sample(docs: DataFrame) -> tuple[list[str], list[tuple[np.ndarray, np.ndarr
             lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x.astype(np.int32))) for x in (pair % BUCKETS, n)]
             yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("part"), *lists], names=["lang", "part", "buckets", "counts"])
 
-    part = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit("part")), F.lit(5)).cast("int").alias("part")
-    rows = picked.select("lang", "text", part).mapInArrow(run, "lang string, part int, buckets array<int>, counts array<int>").toArrow()
-    languages = sorted(sizes)
+    rows = picked.mapInArrow(run, "lang string, part int, buckets array<int>, counts array<int>").toArrow()  # PER_LANGUAGE of each language at most
     at = {k: i for i, k in enumerate(languages)}
     found = [(np.array(b, np.int64), np.array(c, np.float32), at[k], p) for k, p, b, c in zip(*(rows.column(c).to_pylist() for c in ("lang", "part", "buckets", "counts")))]
     found.sort(key=lambda d: (d[2], len(d[0]), d[1].sum()))  # the order of rows doesn't matter

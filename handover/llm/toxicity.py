@@ -159,7 +159,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", key:
     """(key, held_out, score, predicted, n_votes), a row for each row of ``docs``.
 
     Learns only from labels outside the held-out fold, ``SAMPLE`` documents of
-    each class at most, picked by a hash of the key. A document labelled both ways
+    each class at most, picked by a hash of the key. Of rows with one key, the
+    text with the least hash is learned from. A document labelled both ways
     counts as toxic; null keys and labels are ignored. Null texts are empty. With
     no toxic label there is no lexicon, and only patterns vote. ``predicted`` is 1
     from score ``THRESHOLD`` on. Other columns are not read.
@@ -170,8 +171,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", key:
     known = known.where(~held_out(F.col("key"), folds, fold)).groupBy("key").agg(F.max(F.expr("int(toxic = 1)")).alias("toxic"))
     draw = F.xxhash64(F.col("key").cast("string"), F.lit("sample"))
     picked = known.where("toxic = 1").orderBy(draw, "key").limit(SAMPLE).unionByName(known.where("toxic = 0").orderBy(draw, "key").limit(SAMPLE))
-    sample = docs.join(F.broadcast(scratch.write(picked, "labelled")), "key")  # 2 x SAMPLE rows at most
-    sample = scratch.write(sample.where("text is not null"), "toxic-sample")
+    rows = docs.where("text is not null").join(F.broadcast(scratch.write(picked, "labelled")), "key")  # 2 x SAMPLE keys at most
+    # one row of each key, whatever its number of rows; found before the shuffle
+    one = rows.groupBy("key", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text")).alias("row"))
+    sample = scratch.write(one.select("key", "row.text", "toxic"), "toxic-sample")  # 2 x SAMPLE rows at most
     voters = Voters(_lexicon(sample))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -381,6 +381,24 @@ def test_toxicity(spark, docs):
     assert toxicity.score_documents(docs.limit(0), odd).count() == 0
 
 
+def test_samples_are_bounded_in_rows(spark, monkeypatch):
+    queries.ship(spark)
+    rows = [(7, f"copy {i} of one key", "en") for i in range(300)] + [(None, f"null key {i}", "en") for i in range(300)]
+    rows += [(8, "an equal row", "fr")] * 300 + [(1000 + i, f"bon jour {i}", "fr") for i in range(50)] + [(2000 + i, f"good day {i}", "en") for i in range(600)]
+    given = spark.createDataFrame(rows, "key long, text string, lang string").repartition(4)
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 100)
+    languages, train, rest = langid._sample(given)
+    n = Counter(languages[d[2]] for d in train + rest)
+    assert n == {"en": 100, "fr": 51}
+    collected = []
+    fit = toxicity.label_model
+    monkeypatch.setattr(toxicity, "label_model", lambda votes, *a: collected.append(len(votes)) or fit(votes, *a))
+    labels = spark.createDataFrame([(7, 1), (8, 0), *((2000 + i, i % 2) for i in range(40))], "doc_id long, toxic int")
+    out = toxicity.score_documents(given.withColumnRenamed("key", "doc_id"), labels)
+    assert out.count() == len(rows)
+    assert collected == [sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in [7, 8, *range(2000, 2040)])]
+
+
 # --- op8 PII
 
 
