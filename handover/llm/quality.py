@@ -4,9 +4,10 @@ Every document gets exact text measures. For each stratum and each measure a
 cutoff is chosen on labelled documents: the strictest one of a fixed grid for
 which the exact binomial (Clopper-Pearson) upper bound of the share of good
 documents rejected stays within the rule's part of ``max_false_rejection``. The
-confidence is divided by the number of all tests made (strata x rules x
-cutoffs), so with probability ``1 - error`` the guarantee holds in all strata
-at once. A stratum with too few labels for any guarantee gets no cutoff.
+cutoffs of a grid are tested in fixed order, from the loosest to the first that
+fails, so together they take the error of one test. It is divided by strata x
+rules: with probability ``1 - error`` the guarantee holds in all strata at once.
+A stratum with too few labels for any guarantee gets no cutoff.
 """
 
 from __future__ import annotations
@@ -145,7 +146,7 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang"
     levels = rows.select("stratum", "__good", F.explode(rule).alias("r")).groupBy("stratum", "r.rule", "r.level").agg(F.sum(F.expr("int(__good = 1)")).alias("good"), F.sum(F.expr("int(__good <> 1)")).alias("bad"))
     levels = scratch.write(levels, "levels")
     strata = max(1, levels.select("stratum").distinct().count())
-    tests = strata * sum(len(grid) for _, grid in RULES.values())
+    tests = strata * len(RULES)
     limit = max_false_rejection / len(RULES)
 
     def choose(key_: tuple, found: pd.DataFrame) -> pd.DataFrame:

@@ -301,6 +301,16 @@ def test_quality_cutoffs_keep_their_guarantee(spark, docs):
     assert quality.filter_documents(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_quality_cutoffs_of_a_fixed_sequence(spark):
+    rows = [(i, " ".join(f"word{j}" for j in range(i, i + 30)) + (" |" * 10 if i >= 900 else ""), "en") for i in range(1000)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 900)) for i, _, _ in rows], "doc_id long, quality int")
+    part = 0.05 / len(quality.RULES)
+    # 900 good labels without a false rejection suffice if the walk along a grid takes one test's error
+    assert 0.05 / sum(len(g) for _, g in quality.RULES.values()) < quality.binomial_at_most(0, 900, part) <= part
+    assert "symbols" in {r["rule"] for r in quality.choose_cutoffs(quality.measure(given), labels).collect()}
+
+
 # --- op5 lengths
 
 
