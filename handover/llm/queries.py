@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handover.llm import bpe, decontam, langid, lengths, linededup, lm, pii, quality, simhash, toxicity
+from handover.llm import bpe, decontam, filteraudit, langid, lengths, linededup, lm, pii, quality, simhash, toxicity
 
 #: Key of the registered query; a real run passes its own secret.
 PSEUDONYM_KEY = b"pseudonym key of the registered query"
@@ -90,6 +90,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the filters A to E removes, step by step in all 120 orders, by language."""
+    return filteraudit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 _ALL = (
     op1_lm_scores,
     op2_language_id,
@@ -101,6 +106,7 @@ _ALL = (
     op8_pii_pseudonyms,
     op9_line_dedup,
     op10_simhash_near_dedup,
+    op13_filter_interactions,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -124,4 +130,38 @@ SELECT l.doc_id, count(*) AS n_lines, count(g.place) AS n_removed,
               ELSE coalesce(string_agg(l.raw, chr(10) ORDER BY l.place) FILTER (WHERE g.place IS NULL), '') END) AS text_sha256
 FROM line l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.place = g.place
 GROUP BY l.doc_id""",
+    "op13_filter_interactions": """
+WITH body AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+tested AS (
+  SELECT doc_id, part, t, list_filter(string_split_regex(t, '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS first
+  FROM body),
+failing AS (
+  SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+                regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > first, false)] AS f,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic
+  FROM tested),
+combination AS (SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM failing GROUP BY part, f),
+letter AS (SELECT unnest(range(1, 6)) AS i),
+ordering AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+step AS (SELECT o, i AS step, o[i] AS own, o[1:i - 1] AS before FROM ordering, letter),
+state AS (
+  SELECT part, o, step, own, n, good, toxic, f[own] AS fails, len(list_filter(before, lambda x: f[x])) > 0 AS gone,
+         len(list_filter(f, lambda x: x)) AS failed
+  FROM combination, step),
+counted AS (
+  SELECT part, o, step, own,
+         sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails AND failed = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM state GROUP BY part, o, step, own)
+SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, step::INTEGER AS step, kept::BIGINT AS kept,
+       removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted""",
 }
