@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handover.llm import bpe, decontam, filteraudit, langid, lengths, linededup, lm, pii, quality, simhash, toxicity
+from handover.llm import bpe, decontam, filteraudit, langid, lengths, linededup, lm, pii, quality, simhash, toxicity, veccodes
 
 #: Key of the registered query; a real run passes its own secret.
 PSEUDONYM_KEY = b"pseudonym key of the registered query"
@@ -90,6 +90,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every embedding: 4 parts, 256 entries, 4 rounds."""
+    return veccodes.code_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of the filters A to E removes, step by step in all 120 orders, by language."""
     return filteraudit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -106,10 +111,41 @@ _ALL = (
     op8_pii_pseudonyms,
     op9_line_dedup,
     op10_simhash_near_dedup,
+    op12_vector_codes,
     op13_filter_interactions,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
+
+def _vector_codes_sql(rounds: int) -> str:
+    """Every round compares all parts with all entries."""
+    assign = """
+near{r} AS MATERIALIZED (
+  SELECT id, p, any_value(x) AS x, min([d, e]) AS best
+  FROM (SELECT id, p, part.x, e, list_sum(list_transform(list_zip(part.x, book{r}.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM part JOIN book{r} USING (p))
+  GROUP BY id, p),"""
+    update = """
+mean{r} AS MATERIALIZED (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x
+  FROM (SELECT p, best[2] AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM near{r}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY p, e, i)
+  GROUP BY p, e),
+book{next} AS MATERIALIZED (SELECT p, e, coalesce(mean{r}.x, book{r}.x) AS x FROM book{r} LEFT JOIN mean{r} USING (p, e)),"""
+    steps = "".join(assign.format(r=r) + (update.format(r=r, next=r + 1) if r < rounds else "") for r in range(rounds + 1))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (SELECT id, p, v[len(v) // 4 * p + 1:len(v) // 4 * (p + 1)] AS x FROM kept, (SELECT unnest(range(4)) AS p)),
+book0 AS MATERIALIZED (SELECT p, id - 1 AS e, x FROM part WHERE id <= 256),{steps}
+coded AS (
+  SELECT id, string_agg(lpad(lower(hex(best[2])), 2, '0'), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM near{rounds} GROUP BY id),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (id), digest"""
+
+
 ORACLE: dict[str, str] = {
     "op9_line_dedup": """
 WITH line AS (
@@ -164,4 +200,5 @@ SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)),
        removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
        toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
 FROM counted""",
+    "op12_vector_codes": _vector_codes_sql(4),
 }
