@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handover.llm import bpe, decontam, filteraudit, langid, lengths, linededup, lm, pii, quality, simhash, toxicity, veccodes
+from handover.llm import bpe, decontam, filteraudit, langid, lengths, linededup, lm, pii, quality, simhash, toxicity, urls, veccodes
 
 #: Key of the registered query; a real run passes its own secret.
 PSEUDONYM_KEY = b"pseudonym key of the registered query"
@@ -90,6 +90,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
+#: Fixed values of the query: verdict, host and path.
+URL_RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: by rule, else by trees learned from the ruled URLs."""
+    return urls.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code and error of every embedding: 4 parts, 256 entries, 4 rounds."""
     return veccodes.code_vectors(_table(spark, sf_dir, "embeddings"))
@@ -111,6 +126,7 @@ _ALL = (
     op8_pii_pseudonyms,
     op9_line_dedup,
     op10_simhash_near_dedup,
+    op11_url_filter,
     op12_vector_codes,
     op13_filter_interactions,
 )
