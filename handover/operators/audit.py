@@ -71,10 +71,11 @@ def audit_diff(
     )
 
 
-def audit_from_feed(feed: DataFrame, keys: list[str]) -> DataFrame:
+def audit_from_feed(feed: DataFrame, keys: list[str], *also: str) -> DataFrame:
     """Log rows from a change feed with columns (table_name, op, before,
     after, change_date, changed_by); ``before``/``after`` are row structs.
-    Every feed record is logged, including updates that change nothing."""
+    Every feed record is logged, including updates that change nothing.
+    ``also``: further columns of the feed to keep."""
     key_src = F.when(F.col("op") == F.lit(INSERT), F.col("after")).otherwise(F.col("before"))
     return feed.select(
         "table_name",
@@ -84,10 +85,27 @@ def audit_from_feed(feed: DataFrame, keys: list[str]) -> DataFrame:
         F.when(F.col("op") != F.lit(DELETE), _image(F.col("after"))).alias("new_values"),
         "change_date",
         "changed_by",
+        *also,
         *[key_src[k].alias(k) for k in keys],
     )
 
 
+def audit_inserts(
+    inserted: DataFrame, keys: list[str], table_name: str, change_date: dt.datetime | None = None, changed_by: str | None = None
+) -> DataFrame:
+    """Log rows of newly inserted rows, as the insert trigger of the table writes them."""
+    row = F.struct(*inserted.columns)
+    return inserted.select(
+        F.lit(table_name).alias("table_name"),
+        F.lit(INSERT).alias("operation"),
+        _key_json(row, keys).alias("key_values"),
+        F.lit(None).cast("string").alias("old_values"),
+        _image(row).alias("new_values"),
+        (ntz_lit(change_date) if change_date else F.localtimestamp()).alias("change_date"),
+        (F.lit(changed_by) if changed_by else F.current_user()).alias("changed_by"),
+    )
+
+
 def with_log_ids(changes: DataFrame, keys: list[str]) -> DataFrame:
     """Number log rows by table, key, operation (distributed, no global window)."""
     return with_surrogate_key(changes, ["table_name", *keys, "operation"], "log_id")

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from handover.operators import audit
 from handover.operators import lineage as lin
 from handover.operators import load
 from handover.operators.load import (
@@ -54,6 +55,7 @@ class MigrationOptions:
     enforce_batch_rules: bool = False  # apply the batch percent rule in the cascade
     on_bad_total: str = "quarantine"   # or "fail"
     on_code_collision: str = "report"  # or "fail"
+    changed_by: str | None = None      # of the audit of inserted rows; the session's user if not given
     on_violation: str = "report"       # declared constraints, in run_migration; or "fail", "quarantine"
     materialize: bool = False          # write intermediate tables once, then read them back
     publish_root: str | None = None    # write them straight into this run's published location
@@ -172,6 +174,13 @@ def migrate(
             o.as_of,
         )
 
+    def _audit():
+        # what the insert triggers of the two audited tables log
+        columns = [c for c in targets["customers"].columns if c in cust_ins().columns]
+        made = {lin.CUSTOMERS: (cust_ins().select(*columns), ["customer_id"]), lin.PRODUCTS: (prod_ins().drop("item_id"), ["product_id"])}
+        rows = [audit.audit_inserts(df, keys, table, o.as_of, o.changed_by) for table, (df, keys) in made.items()]
+        return keep(audit.with_log_ids(rows[0].unionByName(rows[1]), ["key_values"]), "audit_inserts")
+
     return _Outputs(
         written,
         {
@@ -199,6 +208,7 @@ def migrate(
             "order_details_quarantined": lambda: lines()["quarantined"],
             "order_detail_lineage": line_lineage,
             "insert_log": once("log", _log),
+            "audit_inserts": once("audit", _audit),
         }
     )
 

@@ -43,6 +43,7 @@ PURCHASE_ALL = (dt.datetime(1997, 1, 1), dt.datetime(1997, 12, 31), None)
 PURCHASE_CATEGORY = (dt.datetime(1997, 1, 1), dt.datetime(1997, 3, 31), "PROMO")
 AUDIT_USER = "migration"
 AUDIT_KEYS = ["c_custkey"]
+PRODUCT_KEYS = ["p_partkey"]
 SHIFT_YEARS = 26
 
 
@@ -277,6 +278,47 @@ def q_audit_stream(spark, d):
     return out.select("table_name", "operation", "key_values", "old_values", "new_values")
 
 
+def _product_audit(spark, d) -> DataFrame:
+    before, after = fx.product_snapshots(spark, d)
+    return A.with_log_ids(A.audit_diff(before, after, PRODUCT_KEYS, L.PRODUCTS, RUN_AS_OF, AUDIT_USER), PRODUCT_KEYS)
+
+
+def q_audit_products_log(spark, d):
+    return A.split_log(_product_audit(spark, d))[0]
+
+
+def q_audit_products_log_values(spark, d):
+    return A.split_log(_product_audit(spark, d))[1]
+
+
+def _stream_tables(spark, d) -> tuple[DataFrame, DataFrame]:
+    from handover.streaming.audit_stream import run_log_stream
+
+    return run_log_stream(
+        spark,
+        {
+            L.CUSTOMERS: (fx.customer_change_feed(spark, d, RUN_AS_OF, AUDIT_USER), AUDIT_KEYS),
+            L.PRODUCTS: (fx.product_change_feed(spark, d, RUN_AS_OF, AUDIT_USER), PRODUCT_KEYS),
+        },
+    )
+
+
+def q_audit_stream_log(spark, d):
+    return _stream_tables(spark, d)[0]
+
+
+def q_audit_stream_values(spark, d):
+    return _stream_tables(spark, d)[1]
+
+
+def q_audit_run_log(spark, d):
+    return A.split_log(_migration(spark, d, changed_by=AUDIT_USER)["audit_inserts"])[0]
+
+
+def q_audit_run_values(spark, d):
+    return A.split_log(_migration(spark, d, changed_by=AUDIT_USER)["audit_inserts"])[1]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

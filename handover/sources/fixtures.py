@@ -333,6 +333,41 @@ def customer_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return before, after
 
 
+def _product_image(p: DataFrame) -> DataFrame:
+    return p.select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
+
+
+@_per_session
+def product_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of the product table: keys %10=5 are inserted, %10=6
+    deleted, %10=7 lose their size."""
+    p = _product_image(read_table(spark, sf_dir, "part"))
+    k = F.col("p_partkey")
+    before = p.filter(k % 10 != 5)
+    after = p.filter(k % 10 != 6).withColumn("p_size", F.when(k % 10 != 7, F.col("p_size")))
+    return before, after
+
+
+def product_change_feed(spark: SparkSession, sf_dir: str, change_date, changed_by: str) -> DataFrame:
+    """A change feed of the product table: the changes of ``product_snapshots``."""
+    from handover.functions.scalars import ntz_lit
+
+    p = _product_image(read_table(spark, sf_dir, "part"))
+    m = F.col("p_partkey") % 10
+    row = F.struct(*p.columns)
+    sizeless = F.struct(*[F.lit(None).cast(p.schema[c].dataType).alias(c) if c == "p_size" else F.col(c) for c in p.columns])
+    null_row = F.lit(None).cast(p.select(sizeless.alias("r")).schema["r"].dataType)
+    return p.filter(m.isin(5, 6, 7)).select(
+        F.lit("Products").alias("table_name"),
+        F.when(m == 5, F.lit("I")).when(m == 6, F.lit("D")).otherwise(F.lit("U")).alias("op"),
+        F.when(m == 5, null_row).otherwise(row).alias("before"),
+        F.when(m == 6, null_row).when(m == 7, sizeless).otherwise(row).alias("after"),
+        ntz_lit(change_date).alias("change_date"),
+        F.lit(changed_by).alias("changed_by"),
+        F.col("p_partkey").alias("seq"),
+    )
+
+
 def customer_change_feed(spark: SparkSession, sf_dir: str, change_date, changed_by: str) -> DataFrame:
     """A change feed over the customer table: the snapshot changes plus an
     update that changes nothing for keys %10=4 (a trigger logs those too)."""
