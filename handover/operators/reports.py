@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from handover.functions.scalars import int_div, ntz_lit, shift_years
+from handover.operators.bitsets import bit_sets, sizes
 
 # The column labels the source reports show.
 PURCHASE_REPORT_LABELS = {
@@ -71,19 +72,16 @@ def customers_with_orders(
 
     The source joins the line-level window to the lines a second time, which
     pairs every line of an order with every other; both distinct counts are
-    unchanged by that, so this plan counts over the lines once.
+    unchanged by that. Orders and products are counted as bit sets
+    (``operators.bitsets``) made in one pass over the lines, so no plan has a
+    DISTINCT, and the sets add up across runs.
     """
     lines = _window_lines(orders, order_details, as_of).filter(F.col("product_id").isNotNull())
-    per_customer = (
-        lines.groupBy("customer_id")
-        .agg(
-            F.countDistinct("order_id").alias("n_orders"),
-            F.countDistinct("product_id").alias("distinct_product_count"),
-        )
-        .filter(F.col("n_orders") >= min_orders)
-    )
-    return per_customer.join(customers.select("customer_id", "company_name"), "customer_id", "inner").select(
-        "customer_id", "company_name", "distinct_product_count"
+    counts = sizes(bit_sets(lines, ["customer_id"], "order_id", "product_id"), ["customer_id"], n_orders="order_id", distinct_product_count="product_id")
+    return (
+        counts.filter(F.col("n_orders") >= min_orders)
+        .join(customers.select("customer_id", "company_name"), "customer_id")
+        .select("customer_id", "company_name", "distinct_product_count")
     )
 
 
@@ -142,27 +140,18 @@ def loyal_customers(
     The source chains four steps (window, customers with >= 5 orders, monthly
     counts, average). The average of the monthly counts over the active months
     is (all counted rows) div (number of active months), so the whole report
-    is one join and one aggregate per customer: the order lines are read once
-    and never grouped twice.
+    is one join and one pass over the window's lines, which makes the customer's
+    bit sets of orders, of orders with lines, of months and of products.
     """
     lines = _window_lines(orders, order_details, as_of)
-    month = F.year("order_date") * 100 + F.month("order_date")
-    counted = F.countDistinct("order_id") if count_orders else F.count("order_id")
-    per_customer = (
-        lines.groupBy("customer_id")
-        .agg(
-            counted.alias("n_counted"),
-            F.countDistinct(month).alias("n_months"),
-            F.countDistinct(F.when(F.col("product_id").isNotNull(), F.col("order_id"))).alias("n_orders"),
-            F.countDistinct("product_id").alias("distinct_products"),
-        )
-        .filter(F.col("n_orders") >= min_orders)
-    )
-    return per_customer.join(customers.select("customer_id", "company_name"), "customer_id", "inner").select(
-        "customer_id",
-        "company_name",
-        int_div(F.col("n_counted"), F.col("n_months")).alias("avg_orders_per_month"),
-        "distinct_products",
+    lines = lines.withColumns({"month": F.year("order_date") * 12 + F.month("order_date"), "with_lines": F.when(F.col("product_id").isNotNull(), F.col("order_id"))})
+    sets = bit_sets(lines, ["customer_id"], "with_lines", "month", "product_id", *(["order_id"] if count_orders else []))
+    counts = sizes(sets, ["customer_id"], {"n_rows": "month"}, n_orders="with_lines", n_months="month", distinct_products="product_id", n_all_orders="order_id")
+    counted = F.col("n_all_orders") if count_orders else F.col("n_rows")
+    return (
+        counts.filter(F.col("n_orders") >= min_orders)
+        .join(customers.select("customer_id", "company_name"), "customer_id")
+        .select("customer_id", "company_name", int_div(counted, F.col("n_months")).alias("avg_orders_per_month"), "distinct_products")
     )
 
 

@@ -19,6 +19,7 @@ from handover.operators import lineage as L
 from handover.operators import validate as V
 from handover.operators.keys import with_surrogate_key
 from handover.operators.maintenance import shift_dates
+from handover.operators.monthly import loyal_customers_from_months, month_states, read_states, write_states
 from handover.operators.quality import (
     constraint_violations,
     stage_row_counts,
@@ -33,6 +34,7 @@ from handover.operators.reports import (
     loyal_customers,
 )
 from handover.plans.migration import MigrationOptions, migrate
+from handover.session import scratch_path
 from handover.sources import fixtures as fx
 from handover.sources.tables import read_table
 
@@ -225,6 +227,15 @@ def q_loyal_customers(spark, d):
     return loyal_customers(t["orders"], t["order_details"], t["customers"], REPORT_AS_OF)
 
 
+def q_loyal_customers_from_months(spark, d):
+    """The loyal report from monthly states that two runs have added, of even and of odd orders."""
+    t = _report_tables(spark, d)
+    root = scratch_path(spark, "months")
+    for run in (0, 1):
+        write_states(month_states(t["orders"].where(F.pmod("order_id", F.lit(2)) == run), t["order_details"]), root, f"run{run}")
+    return loyal_customers_from_months(read_states(spark, root), t["orders"], t["order_details"], t["customers"], REPORT_AS_OF)
+
+
 def q_purchase_report_all(spark, d):
     return customer_purchase_report(_report_tables(spark, d), *PURCHASE_ALL)
 
