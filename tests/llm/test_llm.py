@@ -129,30 +129,90 @@ def test_simhash_components(docs):
     assert simhash.components(docs.limit(0)).count() == 0
 
 
-def test_links_between_close_fingerprints(spark):
+def same_components(spark, given, distance, m=None):
+    """Whether ``links`` connects what all pairs within the distance connect."""
+    signed = sorted(f - (1 << 64) if f >> 63 else f for f in given)
+    found = graph.components(simhash.links(spark.createDataFrame([(f, 1) for f in signed], "fp long, n long").repartition(4), distance, m))
+    root = {r["node"]: r["root"] for r in found.collect()}
+    comp = {f: f for f in signed}
+
+    def top(f):
+        while comp[f] != f:
+            f = comp[f]
+        return f
+
+    fps = np.array(signed, np.int64).view(np.uint64)
+    for i, a in enumerate(signed):
+        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= distance).tolist():
+            x, y = top(a), top(signed[j])
+            comp[max(x, y)] = min(x, y)
+    assert {f: root.get(f, f) for f in signed} == {f: top(f) for f in signed}
+    return len({top(f) for f in signed})
+
+
+def scattered():
     rng = random.Random(3)
     given = {rng.getrandbits(64) for _ in range(300)}
     for f in list(given)[:60]:
         for _ in range(6):
             given.add(f ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5))))
+    return given
+
+
+@pytest.mark.parametrize("distance, m", [(4, None), (4, 2), (4, 5), (3, None), (2, None), (1, None), (0, None)])
+def test_links_between_close_fingerprints(spark, distance, m):
+    same_components(spark, scattered(), distance, m)
+
+
+def dense(n, low, high, first=0):
+    """Near copies: neighbours differ in some bits (of those from ``first`` on), and few of them are linked."""
+    rng = random.Random(8)
+    centre, out = rng.getrandbits(64), set()
+    while len(out) < n:
+        out.add(centre ^ sum(1 << b for b in rng.sample(range(first, 64), rng.randint(low, high))))
+    return out | {rng.getrandbits(64) for _ in range(50)}
+
+
+@pytest.mark.parametrize("distance, low, high", [(4, 5, 8), (4, 1, 5), (4, 7, 12), (3, 5, 8), (2, 3, 5)])
+def test_links_in_a_dense_group(spark, distance, low, high):
+    n = same_components(spark, dense(600, low, high), distance)
+    assert n > 50
+    same_components(spark, dense(300, low, high, 32), distance)
+
+
+@pytest.mark.parametrize("bucket", [1, 3])
+def test_links_with_every_level_crowded(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    same_components(spark, dense(200, 4, 7) | scattered(), 4)
+    same_components(spark, dense(150, 4, 7), 3)
+
+
+def test_no_join_lists_the_pairs_of_a_dense_group(spark, monkeypatch):
+    """What is written grows with the group, not with its square."""
+    rows = {}
+    write = simhash.scratch.write
+
+    def counted(df, name):
+        out = write(df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash.scratch, "write", counted)
+    given = dense(1500, 6, 9, 36)
     signed = [f - (1 << 64) if f >> 63 else f for f in given]
-    for m in (1, 2, 3, 5):
-        if m == 1:
-            continue  # a ball of 600,000 masks
-        found = graph.components(simhash.links(spark.createDataFrame([(f, 1) for f in signed], "fp long, n long"), 4, m))
-        root = {r["node"]: r["root"] for r in found.collect()}
-        comp = {f: f for f in signed}
-
-        def top(f):
-            while comp[f] != f:
-                f = comp[f]
-            return f
-
-        for i, a in enumerate(signed):
-            for b in signed[:i]:
-                if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4:
-                    comp[max(top(a), top(b))] = min(top(a), top(b))
-        assert {f: root.get(f, f) for f in signed} == {f: top(f) for f in signed}
+    simhash.links(spark.createDataFrame([(f, 1) for f in signed], "fp long, n long"), 4)
+    assert rows["dense"] > 500  # the deepest level is reached
+    assert max(rows.values()) < 67 * 5 * len(given)
+
+
+def test_columns_named_like_helpers_stay(spark):
+    names = ["__row", "__fp", "__keep", "fp", "n", "low", "row", "__gone", "__l", "__key", "__all", "in_text"]
+    df = spark.createDataFrame([(1, "a b c d e", *names), (2, "a b c d e", *names)], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = simhash.components(df)
+    assert out.columns == [*df.columns, "fingerprint", "component_id", "representative"]
+    assert all(list(r)[2 : 2 + len(names)] == names for r in out.collect())
+    one = simhash.deduplicate(df).collect()
+    assert len(one) == 1 and list(one[0])[2:] == names
 
 
 # --- op9 line dedup
