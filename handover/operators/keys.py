@@ -21,6 +21,8 @@ ties.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +41,13 @@ def with_row_index(
     df: DataFrame,
     order_cols: list[str | Column],
     name: str,
-    start: int | Column = 1,
+    start: int | Column | Callable[[int], int] = 1,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Append ``name`` = start + (rank of the row in ``order_cols``) - 1."""
+    """Append ``name`` = start + (rank of the row in ``order_cols``) - 1.
+
+    A function gets the number of rows and says where to start, e.g. by
+    reserving as many keys (``sinks.keyranges``)."""
     spark = df.sparkSession
     order = _order_cols(order_cols)
     # Without a fixed count AQE may coalesce adjacent ranges to right-size the
@@ -60,8 +65,7 @@ def with_row_index(
     if isinstance(start, Column):
         # Fixed once, at numbering time (like an IDENTITY seed): a later
         # change of the table the start came from must not move the keys.
-        start = spark.range(1).select(start.alias("s")).first()["s"]
-    start_col = F.lit(int(start)).cast("long")
+        start = first_key(spark, start)
     # One row per partition: the size of this result is bounded by the
     # partition count, not by the data (as RDD.zipWithIndex does).
     sizes = {r[0]: r[1] for r in ranged.groupBy(_PID).count().collect()}
@@ -69,6 +73,7 @@ def with_row_index(
     for pid in range(max(sizes, default=-1) + 1):
         offsets.append(acc)
         acc += sizes.get(pid, 0)
+    start_col = F.lit(int(start(acc) if callable(start) else start)).cast("long")
     # A single folded literal, as long as the session's number of shuffle
     # partitions: the key is then a narrow projection, with no join, window or
     # shuffle in the plans that read it.
@@ -77,11 +82,15 @@ def with_row_index(
     return ranged.withColumn(name, (start_col + off + F.col(_POS)).cast("long")).drop(_PID, _POS)
 
 
+def first_key(spark, start: Column) -> int:
+    return spark.range(1).select(start.alias("s")).first()["s"]
+
+
 def with_surrogate_key(
     df: DataFrame,
     order_cols: list[str | Column],
     name: str,
-    start: int | Column = 1,
+    start: int | Column | Callable[[int], int] = 1,
 ) -> DataFrame:
     """IDENTITY-style key in ``order_cols`` order, starting at ``start``."""
     return with_row_index(df, order_cols, name, start)

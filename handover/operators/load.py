@@ -6,6 +6,7 @@ lineage is a projection of the result rather than a side channel.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -25,6 +26,13 @@ from handover.functions.scalars import (
     round_half_up_div,
 )
 from handover.operators.merge import append_with_keys, insert_missing, union_target
+from handover.operators.sizing import measured
+from handover.operators.skew import split_join
+from handover.operators.validate import refers_to
+
+
+#: Where generated keys start: (number of rows, first free key) -> key.
+Reserve = Callable[[int, int], int] | None
 
 
 class CodeCollisionError(ValueError):
@@ -130,11 +138,12 @@ def lines_unmatched(transactions_v: DataFrame, items: DataFrame, products: DataF
     ``ORDER_NOT_LOADED``: the batch has no order; else ``PRODUCT_NOT_LOADED``: the
     item is unknown or no product has its name.
     """
-    placed = orders.select(F.col("batch_id").alias("batch_ref"), F.lit(True).alias("__placed")).distinct()
+    placed = orders.select(F.col("batch_id").alias("__batch"), F.lit(True).alias("__placed")).distinct()
     made = items.join(products.select(F.col("product_name").alias("label")).distinct(), "label", "left_semi")
-    made = made.select(F.col("item_id").alias("item_ref"), F.lit(True).alias("__made")).distinct()
+    made = made.select(F.col("item_id").alias("__item"), F.lit(True).alias("__made")).distinct()
     t = transactions_v.filter(_valid(transactions_v)).select("transaction_id", "batch_ref", "item_ref")
-    t = t.join(placed, "batch_ref", "left").join(made, "item_ref", "left")
+    t = t.join(placed, refers_to(t, "batch_ref", "transaction_id", placed["__batch"]), "left")
+    t = t.join(made, refers_to(t, "item_ref", "transaction_id", made["__item"]), "left")
     t = t.filter(F.col("__placed").isNull() | F.col("__made").isNull())
     reason = F.when(F.col("__placed").isNull(), "ORDER_NOT_LOADED").otherwise("PRODUCT_NOT_LOADED")
     return t.select("transaction_id", "batch_ref", "item_ref", reason.alias("reason"))
@@ -143,42 +152,47 @@ def lines_unmatched(transactions_v: DataFrame, items: DataFrame, products: DataF
 SUPPLIER_COLS = ["supplier_id", "company_name", "phone", "address", "city", "region", "postal_code", "country"]
 
 
-def load_suppliers(entities_v: DataFrame, locations: DataFrame, existing: DataFrame) -> dict[str, DataFrame]:
+def load_suppliers(entities_v: DataFrame, locations: DataFrame, existing: DataFrame, reserve: Reserve = None) -> dict[str, DataFrame]:
     """Insert suppliers whose company name is not yet in the target; new ids
     continue after the target's maximum, in entity id order."""
     cand = _party_source(entities_v, locations, "B").withColumnRenamed("entity_label", "company_name")
     new = insert_missing(existing, cand, ["company_name"])
-    keyed = append_with_keys(existing, new, "supplier_id", ["entity_id"])
+    keyed = append_with_keys(existing, new, "supplier_id", ["entity_id"], reserve)
     inserted = keyed.select("entity_id", *SUPPLIER_COLS)
     return {"inserted": inserted, "target": union_target(existing, inserted)}
 
 
+def _equal_join(left: DataFrame, right: DataFrame, key: str, to: str) -> DataFrame:
+    return left.join(right, F.col(key) == F.col(to), "inner")
+
+
 def load_products(
     items_v: DataFrame,
     entities: DataFrame,
     suppliers: DataFrame,
     existing: DataFrame | None = None,
+    reserve: Reserve = None,
+    split: bool = False,
 ) -> dict[str, DataFrame]:
     """Valid items; the supplier is found by the entity's name among all target
     suppliers (a name join: repeated names fan out, as in the source). Every
-    row is a new product (ids in item id, supplier id order)."""
+    row is a new product (ids in item id, supplier id order). ``split``: items
+    of a supplier, and of a name, that many have are dealt to several tasks."""
     ent = entities.filter(~is_blank("entity_label")).select(
         F.col("entity_id").alias("__eid"), F.col("entity_label").alias("__ename")
     )
     sup = suppliers.filter(~is_blank("company_name")).select("supplier_id", F.col("company_name").alias("__sname"))
     i = items_v.filter(_valid(items_v))
-    src = (
-        i.join(ent, i.source_ref == ent["__eid"], "inner")
-        .join(sup, F.col("__ename") == F.col("__sname"), "inner")
-        .select(
-            "item_id",
-            F.col("label").alias("product_name"),
-            "supplier_id",
-            parse_money("cost", COST_MARK).alias("unit_price"),
-            F.col("qty_available").alias("units_in_stock"),
-        )
+    join = (lambda left, right, key, to: split_join(left, right, key, to, "inner", ["item_id"])) if split else _equal_join
+    named = join(i.select("item_id", "label", "source_ref", "cost", "qty_available"), ent, "source_ref", "__eid")
+    src = join(named, sup, "__ename", "__sname").select(
+        "item_id",
+        F.col("label").alias("product_name"),
+        "supplier_id",
+        parse_money("cost", COST_MARK).alias("unit_price"),
+        F.col("qty_available").alias("units_in_stock"),
     )
-    keyed = append_with_keys(existing, src, "product_id", ["item_id", "supplier_id"])
+    keyed = append_with_keys(existing, src, "product_id", ["item_id", "supplier_id"], reserve)
     inserted = keyed.select("product_id", "product_name", "supplier_id", "unit_price", "units_in_stock", "item_id")
     return {"inserted": inserted}
 
@@ -189,25 +203,27 @@ def load_orders(
     customers: DataFrame,
     existing: DataFrame | None = None,
     on_bad_total: str = "quarantine",
+    reserve: Reserve = None,
+    split: bool = False,
 ) -> dict[str, DataFrame]:
     """Valid batches; the customer is found by the entity's name. The order
     date is the first 10 epoch digits as seconds. The total is kept for the
     line load. A valid batch with no parseable total is quarantined
-    (``on_bad_total="quarantine"``) or fails the run (``"fail"``)."""
+    (``on_bad_total="quarantine"``) or fails the run (``"fail"``). ``split``: the
+    batches of an entity, and of a name, that many have are dealt to several
+    tasks (``operators.skew``)."""
     ent = entities.filter(~is_blank("entity_label")).select(
         F.col("entity_id").alias("__eid"), F.col("entity_label").alias("__ename")
     )
     cus = customers.filter(~is_blank("company_name")).select("customer_id", F.col("company_name").alias("__cname"))
     b = batches_v.filter(_valid(batches_v))
-    src = (
-        b.join(ent, b.reference_id == ent["__eid"], "inner")
-        .join(cus, F.col("__ename") == F.col("__cname"), "inner")
-        .select(
-            "batch_id",
-            parse_money("total_value", TOTAL_MARK).alias("total_value"),
-            epoch_digits_to_ts("batch_date").alias("order_date"),
-            "customer_id",
-        )
+    join = (lambda left, right, key, to: split_join(left, right, key, to, "inner", ["batch_id"])) if split else _equal_join
+    named = join(b.select("batch_id", "batch_date", "reference_id", "total_value"), ent, "reference_id", "__eid")
+    src = join(named, cus, "__ename", "__cname").select(
+        "batch_id",
+        parse_money("total_value", TOTAL_MARK).alias("total_value"),
+        epoch_digits_to_ts("batch_date").alias("order_date"),
+        "customer_id",
     )
     quarantined = src.filter(F.col("total_value").isNull())
     if on_bad_total == "fail":
@@ -216,7 +232,7 @@ def load_orders(
     elif on_bad_total != "quarantine":
         raise ValueError(f"on_bad_total: {on_bad_total!r}")
     ok = src.filter(F.col("total_value").isNotNull())
-    keyed = append_with_keys(existing, ok, "order_id", ["batch_id", "customer_id"])
+    keyed = append_with_keys(existing, ok, "order_id", ["batch_id", "customer_id"], reserve)
     inserted = keyed.select("order_id", "order_date", "customer_id", "batch_id", "total_value")
     return {"inserted": inserted, "quarantined": quarantined, "candidates": src}
 
@@ -239,33 +255,47 @@ def _orders(orders: DataFrame) -> DataFrame:
     return orders.select("order_id", F.col("batch_id").alias("__bid"), "total_value")
 
 
+def line_sums(transactions_v: DataFrame, items: DataFrame) -> DataFrame:
+    """(batch_ref, label, quantity, pct_sum): the valid lines by batch and item name.
+
+    The one aggregate of the lines: the order lines and their lineage both read
+    it. Lines are added up by (batch, item) first, in the tasks that read them,
+    and take the item's name after that; equal names of different items meet in a
+    second, smaller aggregate.
+    """
+    t = _valid_lines(transactions_v).filter("batch_ref is not null and item_ref is not null")
+    per_item = t.groupBy("batch_ref", "item_ref").agg(F.sum("qty").alias("q"), F.sum("pct").alias("p"))
+    named = per_item.join(_items(items), F.col("item_ref") == F.col("__iid"))
+    return named.groupBy("batch_ref", F.col("__label").alias("label")).agg(F.sum("q").alias("quantity"), F.sum("p").alias("pct_sum"))
+
+
 def load_order_details(
     transactions_v: DataFrame,
     items: DataFrame,
     products: DataFrame,
     orders: DataFrame,
+    sums: DataFrame | None = None,
+    split: bool = False,
 ) -> dict[str, DataFrame]:
     """One line per (order, product): quantity = sum of qty; unit price =
     total x sum(percent / 100) / sum(qty), computed exactly on integers and
     rounded half-up once to 4 places. Lines with zero quantity are
-    quarantined instead of failing on the division.
-
-    The lines are aggregated once, per (batch, product name), before the
-    name join: an order has one batch and a product one name, so the joins
-    to products and orders then yield exactly one row per (order, product)
-    -- the source's GROUP BY needs no second shuffle, and repeated names fan
-    out once per name rather than once per line.
+    quarantined instead of failing on the division. ``sums``: a written copy of
+    ``line_sums``, if there is one.
+
+    An order has one batch and a product one name, so the joins to products and
+    orders yield exactly one row per (order, product): the source's GROUP BY
+    needs no second shuffle, and repeated names fan out once per name rather
+    than once per line. ``split``: deal the lines of a name that many have to
+    several tasks (``operators.skew``).
     """
-    t = _valid_lines(transactions_v)
-    it = _items(items)
-    per_name = (
-        t.join(it, t.item_ref == it["__iid"], "inner")
-        .groupBy("batch_ref", "__label")
-        .agg(F.sum("qty").alias("quantity"), F.sum("pct").alias("pct_sum"))
-    )
-    g = per_name.join(_products(products), F.col("__label") == F.col("__pname"), "inner").join(
-        _orders(orders), F.col("batch_ref") == F.col("__bid"), "inner"
-    )
+    sums = line_sums(transactions_v, items) if sums is None else sums
+    p = _products(products)
+    if split:
+        named = split_join(sums, p, "label", "__pname", "inner", ["batch_ref"])
+    else:
+        named = sums.join(p, F.col("label") == F.col("__pname"), "inner")
+    g = named.join(_orders(orders), F.col("batch_ref") == F.col("__bid"), "inner")
     # wider than long: a total of 461,168,602 at 100 % is 2**63 already
     num = money_to_units(F.col("total_value")).cast("decimal(19,0)") * money_to_units(F.col("pct_sum")).cast("decimal(19,0)")
     den = F.lit(1000000).cast("decimal(7,0)") * F.col("quantity").cast("decimal(19,0)")
@@ -278,17 +308,18 @@ def load_order_details(
 
 
 def order_detail_lineage(
-    transactions_v: DataFrame, items: DataFrame, products: DataFrame, orders: DataFrame
+    transactions_v: DataFrame, items: DataFrame, products: DataFrame, orders: DataFrame, sums: DataFrame | None = None
 ) -> DataFrame:
     """Which source transactions went into which (order, product) line, one row
     per transaction and line (the n:m lineage, normalised rather than a
     comma list, so no group is gathered into one value). Lines that are not
-    inserted (quantity zero or null) have no lineage."""
+    inserted (quantity zero or null, by ``line_sums``) have no lineage; these few
+    groups are written once, so that Spark sees their size."""
+    sums = line_sums(transactions_v, items) if sums is None else sums
     t = _valid_lines(transactions_v)
     it = _items(items)
     lines = t.join(it, t.item_ref == it["__iid"], "inner")
-    quantity = F.sum("qty")
-    not_inserted = lines.groupBy("batch_ref", "__label").agg(quantity.alias("q")).where("q is null or q = 0").drop("q")
+    not_inserted = measured(sums.where("quantity is null or quantity = 0").select("batch_ref", F.col("label").alias("__label")), "zero-quantity")
     return (
         lines.join(not_inserted, ["batch_ref", "__label"], "left_anti")
         .join(_products(products), F.col("__label") == F.col("__pname"), "inner")

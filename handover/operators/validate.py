@@ -65,7 +65,7 @@ def _valid(df: DataFrame) -> Column:
     return F.col("is_valid") if "is_valid" in df.columns else F.lit(True)
 
 
-def _refers_to(df: DataFrame, ref: str, row_id: str, parent: Column) -> Column:
+def refers_to(df: DataFrame, ref: str, row_id: str, parent: Column) -> Column:
     """Outer-join condition of a nullable reference: null rows match nothing and
     are spread by their own id, or all of them would meet in one partition."""
     return (F.coalesce(df[ref], df[row_id]) == parent) & df[ref].isNotNull()
@@ -120,7 +120,7 @@ def validate_items(items: DataFrame, entities_v: DataFrame) -> DataFrame:
     sup = entities_v.filter(F.upper(F.col("type_flag")) == F.lit("B")).select(
         F.col("entity_id").alias("__sup_id"), F.col("is_valid").alias("__sup_valid")
     )
-    j = items.join(sup, _refers_to(items, "source_ref", "item_id", sup["__sup_id"]), "left")
+    j = items.join(sup, refers_to(items, "source_ref", "item_id", sup["__sup_id"]), "left")
     sup_ok = F.coalesce(F.col("__sup_valid"), F.lit(False))
     code = F.coalesce(_item_code(), F.when(~sup_ok, F.lit(ITEM_BAD_SUPPLIER)))
     return _with_validity(j, code).drop("__sup_id", "__sup_valid")
@@ -161,7 +161,7 @@ def validate_batches(
     enforced unless ``enforce_batch_rules``.
     """
     ent = entities_v.select(F.col("entity_id").alias("__ent_id"), F.col("is_valid").alias("__ent_valid"))
-    j = batches.join(ent, _refers_to(batches, "reference_id", "batch_id", ent["__ent_id"]), "left")
+    j = batches.join(ent, refers_to(batches, "reference_id", "batch_id", ent["__ent_id"]), "left")
     code = F.when(~F.coalesce(F.col("__ent_valid"), F.lit(False)), F.lit(BATCH_BAD_CUSTOMER))
     if enforce_batch_rules:
         if transactions_v is None:
@@ -237,7 +237,7 @@ def validate_transactions(transactions: DataFrame, items_v: DataFrame, keys=DUP_
     bad_items_ = measured(
         items_v.filter(~F.col("is_valid")).select(F.col("item_id").alias("__bad_item")), "invalid-items"
     )
-    j = t.join(bad_items_, _refers_to(t, "item_ref", "transaction_id", bad_items_["__bad_item"]), "left")
+    j = t.join(bad_items_, refers_to(t, "item_ref", "transaction_id", bad_items_["__bad_item"]), "left")
     code = F.coalesce(_txn_code(), F.when(F.col("__bad_item").isNotNull(), F.lit(TXN_BAD_ITEM)))
     return _with_validity(j, code).drop("survivor_id", "__bad_item")
 

@@ -28,10 +28,12 @@ from handover.operators.load import (
     order_detail_lineage,
 )
 from handover.operators.quality import constraint_violations, enforce, staging_violations, with_quality_columns
+from handover.operators.sizing import measured
 from handover.operators.validate import validate_all
 from handover.schemas import SOURCE_KEYS
 from handover.session import scratch_path
-from handover.sinks.publish import publish_run, table_path, write_table, refuse_committed
+from handover.sinks.keyranges import reserve
+from handover.sinks.publish import new_attempt, publish_run, refuse_committed, table_path, write_table
 
 
 # File layout of published tables, in place of the source's two optional
@@ -57,9 +59,11 @@ class MigrationOptions:
     on_code_collision: str = "report"  # or "fail"
     changed_by: str | None = None      # of the audit of inserted rows; the session's user if not given
     on_violation: str = "report"       # declared constraints, in run_migration; or "fail", "quarantine"
+    split_heavy: bool = False          # find heavy names and keys by a sketch, deal their rows to several tasks
     materialize: bool = False          # write intermediate tables once, then read them back
     publish_root: str | None = None    # write them straight into this run's published location
     run_id: str | None = None
+    attempt: str | None = None
 
 
 def _materialize(spark: SparkSession, df: DataFrame, name: str, o: "MigrationOptions", written: dict[str, int]) -> DataFrame:
@@ -73,9 +77,9 @@ def _materialize(spark: SparkSession, df: DataFrame, name: str, o: "MigrationOpt
         if name in PUBLISH_LAYOUT:
             df = df.sortWithinPartitions(*PUBLISH_LAYOUT[name])
         obs = Observation(f"rows_{name}")
-        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), o.publish_root, name, o.run_id)
+        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), o.publish_root, name, o.run_id, o.attempt)
         written[name] = int(obs.get["rows"])
-        return spark.read.parquet(table_path(o.publish_root, name, o.run_id))
+        return spark.read.parquet(table_path(o.publish_root, name, o.run_id, o.attempt))
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -122,6 +126,10 @@ def migrate(
     keep = (lambda df, name: _materialize(spark, df, name, o, written)) if o.materialize else (lambda df, name: df)
     step: dict[str, object] = {}
 
+    def keys_of(table: str):
+        """How a published run takes keys; without a root they simply follow the target's."""
+        return (lambda n, first: reserve(spark, o.publish_root, table, n, first)) if o.publish_root else None
+
     def once(name: str, fn: Callable[[], object]):
         def get():
             if name not in step:
@@ -144,22 +152,23 @@ def migrate(
         return targets["customers"].unionByName(cust_ins().withColumn("contact_name", F.lit(None).cast("string")).select(*cols))
 
     customers_all = once("customers_all", _customers_all)
-    sup = once("sup", lambda: load_suppliers(validated()["entities"], validated()["locations"], targets["suppliers"]))
+    sup = once("sup", lambda: load_suppliers(validated()["entities"], validated()["locations"], targets["suppliers"], keys_of("suppliers")))
     sup_ins = once("sup_ins", lambda: keep(sup()["inserted"], "suppliers_inserted"))
     suppliers_all = once(
         "suppliers_all",
         lambda: targets["suppliers"].unionByName(sup_ins().select(*targets["suppliers"].columns)),
     )
-    prod = once("prod", lambda: load_products(validated()["items"], validated()["entities"], suppliers_all(), targets.get("products")))
+    prod = once("prod", lambda: load_products(validated()["items"], validated()["entities"], suppliers_all(), targets.get("products"), keys_of("products"), o.split_heavy))
     prod_ins = once("prod_ins", lambda: keep(prod()["inserted"], "products_inserted"))
     orders = once(
         "orders",
-        lambda: load_orders(validated()["batches"], validated()["entities"], customers_all(), targets.get("orders"), o.on_bad_total),
+        lambda: load_orders(validated()["batches"], validated()["entities"], customers_all(), targets.get("orders"), o.on_bad_total, keys_of("orders"), o.split_heavy),
     )
     ord_ins = once("ord_ins", lambda: keep(orders()["inserted"], "orders_inserted"))
-    lines = once("lines", lambda: load_order_details(validated()["transactions"], validated()["items"], prod_ins(), ord_ins()))
+    sums = once("line_sums", lambda: measured(load.line_sums(validated()["transactions"], validated()["items"]), "line-sums"))
+    lines = once("lines", lambda: load_order_details(validated()["transactions"], validated()["items"], prod_ins(), ord_ins(), sums(), o.split_heavy))
     line_lineage = once(
-        "line_lineage", lambda: order_detail_lineage(validated()["transactions"], validated()["items"], prod_ins(), ord_ins())
+        "line_lineage", lambda: order_detail_lineage(validated()["transactions"], validated()["items"], prod_ins(), ord_ins(), sums())
     )
 
     def _log():
@@ -247,11 +256,11 @@ def run_migration(
     declared constraints are published too, or stop the run before it writes
     (``MigrationOptions.on_violation``)."""
     refuse_committed(spark, root, run_id)
-    o = replace(options or MigrationOptions(), materialize=True, publish_root=root, run_id=run_id)
+    o = replace(options or MigrationOptions(), materialize=True, publish_root=root, run_id=run_id, attempt=new_attempt())
     sources, about = check_sources(sources, o.on_violation)
     out = migrate(spark, sources, targets, o)
     # builds (and writes) every step; internal hand-over frames are not published
     built = {name: out[name] for name in out if name not in INTERNAL_OUTPUTS} | about
     built = {n: df.sortWithinPartitions(*PUBLISH_LAYOUT[n]) if n in PUBLISH_LAYOUT else df for n, df in built.items()}
-    publish_run(spark, built, root, run_id, o.as_of, already_written=out.written)
+    publish_run(spark, built, root, run_id, o.as_of, already_written=out.written, attempt=o.attempt)
     return out

@@ -17,7 +17,7 @@ def _s(*fields: tuple[str, object, bool]) -> StructType:
     return StructType([StructField(n, t, nullable) for n, t, nullable in fields])
 
 
-# Source (legacy) tables as extracted: ids are identity ints, values are text.
+# Source (legacy) tables as extracted: ids of growing tables are longs, values are text.
 LOCATIONS = _s(
     ("location_id", IntegerType(), False),
     ("street_addr", StringType(), True),
@@ -26,31 +26,31 @@ LOCATIONS = _s(
     ("postal_code", StringType(), True),
 )
 ENTITIES = _s(
-    ("entity_id", IntegerType(), False),
+    ("entity_id", LongType(), False),
     ("entity_label", StringType(), False),
     ("type_flag", StringType(), True),
     ("location_ref", IntegerType(), True),
     ("contact_info", StringType(), True),
 )
 ITEMS = _s(
-    ("item_id", IntegerType(), False),
+    ("item_id", LongType(), False),
     ("label", StringType(), False),
-    ("source_ref", IntegerType(), True),
+    ("source_ref", LongType(), True),
     ("group_ref", IntegerType(), True),
     ("cost", StringType(), True),
     ("qty_available", IntegerType(), True),
 )
 BATCHES = _s(
-    ("batch_id", IntegerType(), False),
+    ("batch_id", LongType(), False),
     ("batch_date", LongType(), False),
-    ("reference_id", IntegerType(), True),
+    ("reference_id", LongType(), True),
     ("total_value", StringType(), True),
 )
 TRANSACTIONS = _s(
-    ("transaction_id", IntegerType(), False),
-    ("batch_ref", IntegerType(), True),
-    ("item_ref", IntegerType(), True),
-    ("partner_ref", IntegerType(), True),
+    ("transaction_id", LongType(), False),
+    ("batch_ref", LongType(), True),
+    ("item_ref", LongType(), True),
+    ("partner_ref", LongType(), True),
     ("qty", IntegerType(), True),
     ("date_key", LongType(), True),
     ("amount", StringType(), True),

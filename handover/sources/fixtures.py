@@ -28,10 +28,10 @@ from handover.schemas import CUSTOMERS, SOURCE_SCHEMAS, SUPPLIERS
 from handover.sources.tables import conform, read_table
 
 # Fixed values of the fixture rules (FIXTURES.md part B).
-SUPPLIER_ID_BASE = 1000000001      # entity id of supplier 0
-UNKNOWN_ENTITY = 1999999999        # item source_ref pointing nowhere
+SUPPLIER_ID_BASE = 10**15 + 1      # entity id of supplier 0
+UNKNOWN_ENTITY = 2 * 10**15 - 1    # item source_ref pointing nowhere
 WRONG_TYPE_ENTITY = 1              # item source_ref pointing at a customer
-DUPLICATE_ID_BASE = 1000000000     # transaction id of an injected copy
+DUPLICATE_ID_BASE = 10**15         # transaction id of an injected copy
 DATE_SHIFT_YEARS = 26
 
 

@@ -1,0 +1,128 @@
+"""Key ranges for parallel relational reads; the reader's options are recorded, no database is there."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from handover.sources import fixtures as fx
+from handover.sources.ranges import cut_points, even_steps, predicates, quote
+from handover.sources.tables import SchemaMismatch, jdbc_ranges, read_all_jdbc, read_source
+
+
+class Recorder:
+    """A session whose jdbc reader answers from local tables and keeps the options it got."""
+
+    def __init__(self, spark, tables):
+        self.spark, self.tables, self.calls = spark, tables, []
+        self.read = self
+
+    def jdbc(self, url, table, column=None, lowerBound=None, upperBound=None, numPartitions=None, predicates=None, properties=None):
+        self.calls.append({"url": url, "table": table, "column": column, "low": lowerBound, "high": upperBound, "parts": numPartitions, "predicates": predicates, "properties": properties})
+        name = table.split("FROM ")[-1].split(")")[0] if "FROM" in table else table
+        df, key = self.tables[name]
+        if "min(" in table:
+            return df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n"))
+        return df.select(key) if "FROM" in table else df
+
+
+def _keys(kind):
+    rng = random.Random(4)
+    if kind == "dense":
+        return list(range(1, 5001))
+    if kind == "sparse":  # most of the span is empty
+        return [rng.randint(1, 3000) for _ in range(4000)] + [10**12 + i for i in range(1000)]
+    if kind == "negative":
+        return [rng.randint(-(10**9), 10**9) for _ in range(5000)]
+    return [7] * 3000 + [rng.randint(1, 10**6) for _ in range(2000)]  # one heavy key
+
+
+@pytest.mark.parametrize("kind", ["dense", "sparse", "negative", "heavy"])
+def test_ranges_hold_every_row_once_and_evenly(spark, kind):
+    keys = _keys(kind) + [None, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(6)
+    cuts = cut_points(df, "k", 500)
+    found = predicates("k", cuts, nullable=True)
+    sizes = [df.where(p).count() for p in found]
+    assert sum(sizes) == len(keys)
+    test = [F.expr(p).cast("int") for p in found]
+    assert df.select(sum(F.coalesce(t, F.lit(0)) for t in test).alias("n")).distinct().collect() == [(1,)]
+    heaviest = 3000 if kind == "heavy" else 0
+    assert sorted(sizes)[-1] <= max(2 * 500, heaviest + 500)
+    if kind != "heavy":
+        assert min(sizes) >= 200 and 9 <= len(sizes) <= 12
+
+
+def test_small_and_empty_tables_are_one_range(spark):
+    df = spark.createDataFrame([(1,), (2,)], "k long")
+    assert cut_points(df, "k", 10) == [] and cut_points(df.limit(0), "k", 10) == []
+    assert predicates("k", []) == ["1 = 1"]
+    assert cut_points(spark.createDataFrame([(5,)] * 50, "k long"), "k", 10) == []
+    assert even_steps(1, 10, 10**9) == 10 and even_steps(1, 10**9, 5 * 10**6) == 5
+    assert quote('a"b') == '"a""b"'
+
+
+def test_reader_options_of_a_relational_extract(spark):
+    items = fx.items(spark, SF_SMALL)
+    n = items.count()
+    rec = Recorder(spark, {"items": (items, "item_id")})
+    df = read_source(rec, "items", jdbc_url="jdbc:x", jdbc_properties={"user": "u"}, rows_per_range=n // 4)
+    ends, keys, rows = rec.calls
+    assert ends["predicates"] is None and "count(*)" in ends["table"]
+    assert keys["column"] == "item_id" and keys["low"] == 1 and keys["high"] == n + 1 and keys["parts"] == 4
+    assert rows["table"] == "items" and len(rows["predicates"]) in (4, 5) and '"item_id" IS NULL' in rows["predicates"][0]
+    assert all(c["url"] == "jdbc:x" and c["properties"] == {"fetchsize": "10000", "user": "u"} for c in rec.calls)
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, items.collect()), key=repr)
+    by_spark = [items.where(p.replace('"', "`")).count() for p in rows["predicates"]]
+    assert sum(by_spark) == n and max(by_spark) < 2 * min(by_spark)
+
+
+def test_a_table_of_one_range_isnt_read_twice(spark):
+    items = fx.items(spark, SF_SMALL)
+    rec = Recorder(spark, {"items": (items, "item_id")})
+    assert jdbc_ranges(rec, "items", "item_id", "jdbc:x", {}) == ["1 = 1"]
+    assert len(rec.calls) == 1
+    rec = Recorder(spark, {"items": (items.limit(0), "item_id")})
+    assert read_source(rec, "items", jdbc_url="jdbc:x").count() == 0
+
+
+def test_relational_extract_conforms(spark):
+    src = fx.sources(spark, SF_SMALL)
+    keys = {"locations": "location_id", "entities": "entity_id", "items": "item_id", "batches": "batch_id", "transactions": "transaction_id"}
+    rec = Recorder(spark, {t: (df, keys[t]) for t, df in src.items()})
+    out = read_all_jdbc(rec, "jdbc:x", rows_per_range=1000)
+    assert {t: df.schema for t, df in out.items()} == {t: df.schema for t, df in src.items()}
+    rec.tables["items"] = (src["items"].drop("cost"), "item_id")
+    with pytest.raises(SchemaMismatch):
+        read_source(rec, "items", jdbc_url="jdbc:x")
+
+
+def test_command_line_needs_targets(spark, capsys):
+    from handover.__main__ import main
+
+    with pytest.raises(SystemExit):
+        main(["migrate", "--jdbc-url", "jdbc:x", "--root", "r", "--run-id", "i"])
+    assert "--customers" in capsys.readouterr().err
+
+
+def test_command_line_reads_a_relational_source(spark, monkeypatch, tmp_path):
+    from handover import __main__ as cli
+    from handover.sinks.publish import read_published
+    from handover.sources import tables
+
+    src = fx.sources(spark, SF_SMALL)
+    seen = {}
+
+    def read_all(session, url, properties, rows):
+        seen.update(url=url, properties=properties, rows=rows)
+        return src
+
+    monkeypatch.setattr(tables, "read_all_jdbc", read_all)
+    c, s, root = (str(tmp_path / n) for n in ("c", "s", "root"))
+    fx.existing_customers(spark, SF_SMALL).write.parquet(c)
+    fx.existing_suppliers(spark, SF_SMALL).write.parquet(s)
+    args = ["migrate", "--jdbc-url", "jdbc:x", "--jdbc-property", "user=u", "--jdbc-property", "password=a=b", "--rows-per-range", "77"]
+    assert cli.main([*args, "--customers", c, "--suppliers", s, "--root", root, "--run-id", "r1", "--split-heavy"]) == 0
+    assert seen == {"url": "jdbc:x", "properties": {"user": "u", "password": "a=b"}, "rows": 77}
+    assert read_published(spark, root, "orders_inserted").count() > 0
