@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from handover.operators.validate import validate_all
 from handover.schemas import SOURCE_KEYS
 from handover.session import scratch_path
 from handover.sinks.keyranges import reserve
+from handover.sinks.staging import write_checked
 from handover.sinks.publish import new_attempt, publish_run, refuse_committed, table_path, write_table
 
 
@@ -243,6 +245,25 @@ def check_sources(sources: dict[str, DataFrame], mode: str) -> tuple[dict[str, D
     return clean, about
 
 
+def stage_sources(
+    sources: dict[str, DataFrame], root: str, run_id: str, attempt: str, as_of: dt.datetime, mode: str
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, int]]:
+    """Land every source as a staged table of the run, checked while it is written.
+
+    Returns the rows to load (read from the staged copies, so a source is read
+    once in a run), the tables to publish about broken constraints, and the
+    numbers of staged rows.
+    """
+    clean, about, written, parts = {}, {}, {}, []
+    for t, df in sources.items():
+        done = write_checked(df, t, table_path(root, f"staged_{t}", run_id, attempt), as_of, mode)
+        clean[t], written[f"staged_{t}"] = done.clean.select(*df.columns), done.rows
+        parts.append(done.violations)
+        if mode == "quarantine":
+            about[f"quarantined_{t}"] = done.quarantined.select(*df.columns)
+    return clean, {"source_violations": reduce(DataFrame.unionByName, parts)} | about, written
+
+
 def run_migration(
     spark: SparkSession,
     sources: dict[str, DataFrame],
@@ -251,14 +272,15 @@ def run_migration(
     run_id: str,
     options: MigrationOptions | None = None,
 ) -> Mapping[str, DataFrame]:
-    """Migrate with validated and keyed tables written once, straight into the
-    run's published location, then publish the rest and commit the run. Breaches of the
-    declared constraints are published too, or stop the run before it writes
-    (``MigrationOptions.on_violation``)."""
+    """Stage the sources, migrate with validated and keyed tables written once,
+    straight into the run's published location, then publish the rest and commit
+    the run. Breaches of the declared constraints, found while staging, are
+    published too, or stop the run before it loads (``MigrationOptions.on_violation``)."""
     refuse_committed(spark, root, run_id)
     o = replace(options or MigrationOptions(), materialize=True, publish_root=root, run_id=run_id, attempt=new_attempt())
-    sources, about = check_sources(sources, o.on_violation)
+    sources, about, staged = stage_sources(sources, root, run_id, o.attempt, o.as_of, o.on_violation)
     out = migrate(spark, sources, targets, o)
+    out.written.update(staged)
     # builds (and writes) every step; internal hand-over frames are not published
     built = {name: out[name] for name in out if name not in INTERNAL_OUTPUTS} | about
     built = {n: df.sortWithinPartitions(*PUBLISH_LAYOUT[n]) if n in PUBLISH_LAYOUT else df for n, df in built.items()}

@@ -8,7 +8,9 @@ integer ten-thousandths, flags as 0/1 ints, times as ``timestamp_ntz``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from handover.operators import audit as A
 from handover.operators import lineage as L
 from handover.operators import validate as V
 from handover.operators.keys import with_surrogate_key
+from handover.operators.load import customer_candidates
 from handover.operators.maintenance import shift_dates
 from handover.operators.monthly import loyal_customers_from_months, month_states, read_states, write_states
 from handover.operators.quality import (
@@ -35,6 +38,9 @@ from handover.operators.reports import (
 )
 from handover.plans.migration import MigrationOptions, migrate
 from handover.session import scratch_path
+from handover.sinks.bucketed import create_target, insert_missing_rows
+from handover.sinks.ranged import RangedTable
+from handover.sinks.staging import write_checked
 from handover.sources import fixtures as fx
 from handover.sources.tables import read_table
 
@@ -47,6 +53,8 @@ AUDIT_USER = "migration"
 AUDIT_KEYS = ["c_custkey"]
 PRODUCT_KEYS = ["p_partkey"]
 SHIFT_YEARS = 26
+ITEMS_A_RANGE = 100
+BUCKETS = 8
 
 
 def _money(c: str):
@@ -330,6 +338,40 @@ def q_audit_run_values(spark, d):
     return A.split_log(_migration(spark, d, changed_by=AUDIT_USER)["audit_inserts"])[1]
 
 
+def q_audit_log_by_digest(spark, d):
+    before, after = fx.customer_snapshots(spark, d)
+    changes = A.audit_diff_by_digest(before, after, AUDIT_KEYS, L.CUSTOMERS, RUN_AS_OF, AUDIT_USER)
+    return A.split_log(A.with_log_ids(changes, AUDIT_KEYS))[0]
+
+
+# ------------------------------------------------------- staging and updates
+def q_staged_violations(spark, d):
+    """The constraint report of the staging write."""
+    root, parts = scratch_path(spark, "staged"), []
+    for t, df in fx.sources(spark, d).items():
+        parts.append(write_checked(df, t, f"{root}/{t}", RUN_AS_OF).violations)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_items_revalidated(spark, d):
+    """Staged items with all flags true, updated by the cascade in the ranges that change."""
+    table = RangedTable(spark, scratch_path(spark, "items"), "item_id", ITEMS_A_RANGE)
+    staged = with_quality_columns(fx.items(spark, d), RUN_AS_OF).drop("load_timestamp")
+    table.create(staged)
+    table.update(_validated(spark, d)["items"].select(*staged.columns), ["is_valid", "validation_error"])
+    return _flag(table.read())
+
+
+def q_merge_customers_bucketed(spark, d):
+    """Keys and names of the target customers after a merge by bucket."""
+    keys, name = ["customer_id"], f"customers_{uuid.uuid4().hex[:12]}"
+    cols = ["customer_id", "company_name"]
+    create_target(fx.existing_customers(spark, d).select(*cols), name, keys, BUCKETS)
+    v = _validated(spark, d)
+    insert_missing_rows(spark, name, customer_candidates(v["entities"], v["locations"]).select(*cols).dropna(subset=keys), keys)
+    return spark.table(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

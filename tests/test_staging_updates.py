@@ -1,0 +1,211 @@
+"""Checked staging, updates by key range, merges by bucket, diffs by digest."""
+
+import datetime as dt
+import glob
+import os
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from handover.operators import audit as A
+from handover.operators.quality import ConstraintViolation, staging_violations, with_quality_columns
+from handover.operators.validate import validate_entities, validate_items
+from handover.plans.migration import MigrationOptions, run_migration
+from handover.session import scratch_path
+from handover.sinks.bucketed import create_target, insert_missing_rows, missing_rows
+from handover.sinks.publish import completed_runs, read_published
+from handover.sinks.ranged import RANGE, RangedTable
+from handover.sinks.staging import write_checked
+from handover.sources import fixtures as fx
+
+TS = dt.datetime(2024, 5, 1)
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _broken_items(spark):
+    items = fx.items(spark, SF_SMALL)
+    twice = items.where("item_id in (3, 4)")
+    long_ = items.where("item_id = 5").withColumn("label", F.lit("x" * 101)).withColumn("cost", F.lit("$" + "1" * 20))
+    none = items.where("item_id in (6, 7)").withColumn("item_id", F.lit(None).cast("long"))
+    nameless = items.where("item_id = 8").withColumn("label", F.lit(None).cast("string"))
+    rest = items.where("item_id not in (5, 6, 7, 8)")
+    return rest.unionByName(twice).unionByName(long_).unionByName(none).unionByName(nameless)
+
+
+@pytest.mark.parametrize("mode", ["report", "quarantine"])
+def test_staging_finds_what_the_report_finds(spark, mode):
+    items = _broken_items(spark)
+    done = write_checked(items, "items", scratch_path(spark, "staged"), TS, mode)
+    assert _rows(done.violations) == _rows(staging_violations({"items": items}))
+    assert done.rows == items.count()
+    assert done.breaches == {("label", "MAX_LENGTH"): 1, ("cost", "MAX_LENGTH"): 1, ("label", "NOT_NULL"): 1, ("item_id", "NOT_NULL"): 2}
+    assert done.clean.columns == [*items.columns, "is_valid", "validation_error", "load_timestamp"]
+    if mode == "report":
+        assert _rows(done.clean.select(*items.columns)) == _rows(items) and done.quarantined.count() == 0
+    else:
+        bad = {3, 4, 5, 8, None}
+        assert {r["item_id"] for r in done.quarantined.collect()} == bad
+        assert done.quarantined.count() == 8 and done.clean.count() + 8 == done.rows
+        assert done.clean.where("item_id in (3, 4, 5, 8) or item_id is null").count() == 0
+
+
+def test_staging_fails_on_a_breach_or_a_repeated_key(spark):
+    items = fx.items(spark, SF_SMALL)
+    write_checked(items, "items", scratch_path(spark, "staged"), TS, "fail")
+    for bad in (_broken_items(spark), items.unionByName(items.where("item_id = 9"))):
+        with pytest.raises(ConstraintViolation):
+            write_checked(bad, "items", scratch_path(spark, "staged"), TS, "fail")
+    with pytest.raises(ValueError):
+        write_checked(items, "items", scratch_path(spark, "staged"), TS, "ignore")
+    empty = write_checked(items.limit(0), "items", scratch_path(spark, "staged"), TS)
+    assert empty.rows == 0 and empty.clean.count() == 0 and empty.violations.count() == 0
+
+
+def test_a_run_reads_each_source_once(spark):
+    """Sources with a counter of the rows that are read: staging is the one pass."""
+    counts = {}
+    src = {}
+    for t, df in fx.sources(spark, SF_SMALL).items():
+        counts[t] = spark.sparkContext.accumulator(0)
+        add = counts[t]
+
+        def count(rows, add=add):
+            for r in rows:
+                add.add(r.num_rows)
+                yield r
+
+        src[t] = df.mapInArrow(count, df.schema)
+    root = scratch_path(spark, "publish")
+    targets = {"customers": fx.existing_customers(spark, SF_SMALL), "suppliers": fx.existing_suppliers(spark, SF_SMALL)}
+    out = run_migration(spark, src, targets, root, "r", MigrationOptions(as_of=TS, on_violation="quarantine"))
+    read = {t: a.value for t, a in counts.items()}
+    assert read == {t: out.written[f"staged_{t}"] for t in src}
+    assert read == {t: df.count() for t, df in fx.sources(spark, SF_SMALL).items()}
+    assert read_published(spark, root, "staged_items").count() == read["items"]
+
+
+def test_a_run_that_fails_its_constraints_commits_nothing(spark):
+    src = fx.sources(spark, SF_SMALL) | {"items": _broken_items(spark)}
+    targets = {"customers": fx.existing_customers(spark, SF_SMALL), "suppliers": fx.existing_suppliers(spark, SF_SMALL)}
+    root = scratch_path(spark, "publish")
+    with pytest.raises(ConstraintViolation):
+        run_migration(spark, src, targets, root, "r", MigrationOptions(as_of=TS, on_violation="fail"))
+    assert completed_runs(spark, root).count() == 0
+    run_migration(spark, src, targets, root, "r", MigrationOptions(as_of=TS, on_violation="quarantine"))
+    assert read_published(spark, root, "quarantined_items").count() == 8
+    assert read_published(spark, root, "source_violations").where("table_name = 'items'").count() == 8
+
+
+# --- updates by key range
+
+
+def _files(path):
+    return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def test_an_update_writes_the_ranges_it_changes(spark):
+    items, entities = fx.items(spark, SF_SMALL), fx.entities(spark, SF_SMALL)
+    cascade = lambda df: validate_items(with_quality_columns(df, TS), validate_entities(with_quality_columns(entities, TS))).drop("load_timestamp")
+    table = RangedTable(spark, scratch_path(spark, "items"), "item_id", 10)
+    table.create(cascade(items))
+    before = _files(table.path)
+    assert len(before) == len({p.split(f"{RANGE}=")[1].split("/")[0] for p in before}) > 10
+    changed = items.withColumn("cost", F.when(F.col("item_id") == 42, "none").otherwise(F.col("cost")))
+    assert table.update(cascade(changed), ["is_valid", "validation_error"]) == 1
+    after = _files(table.path)
+    assert {p for p in before if p not in after or after[p] != before[p]} == {p for p in before if f"/{RANGE}=4/" in p}
+    assert _rows(table.read()) == _rows(cascade(items.where("item_id not between 40 and 49")).unionByName(cascade(changed.where("item_id between 40 and 49"))).select(*table.read().columns))
+    assert table.update(cascade(changed), ["is_valid", "validation_error"]) == 0 and _files(table.path) == after
+
+
+def test_an_update_of_some_keys_keeps_the_others(spark):
+    table = RangedTable(spark, scratch_path(spark, "t"), "k", 4)
+    table.create(spark.range(20).select(F.col("id").alias("k"), F.lit("a").alias("v")))
+    rows = spark.createDataFrame([(5, "b"), (6, "a"), (19, None), (-3, "new"), (100, "new")], "k long, v string")
+    assert table.update(rows, ["v"]) == 4  # of 5, of 19, and of the two new ones
+    want = {k: "a" for k in range(20)} | {5: "b", 19: None, -3: "new", 100: "new"}
+    assert {r["k"]: r["v"] for r in table.read().collect()} == want and table.read().count() == len(want)
+    assert table.update(rows.limit(0), ["v"]) == 0
+
+
+# --- merges by bucket
+
+
+def _target(spark, n=400):
+    name = f"target_{uuid.uuid4().hex[:10]}"
+    create_target(spark.range(n).selectExpr("concat('k', id) as k", "id as v"), name, ["k"], 8)
+    return name
+
+
+def test_a_merge_leaves_the_target_where_it_is(spark):
+    name = _target(spark)
+    source = spark.createDataFrame([("k1", 9), ("new", 2), ("new", 1), (None, 5), ("other", None)], "k string, v long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = missing_rows(spark, name, source, ["k"])
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted([("new", 2), ("new", 1), (None, 5), ("other", None)], key=repr)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("Initial Plan")[0]
+        scan = plan.index(f"FileScan parquet spark_catalog.default.{name}")
+        above = [line for line in plan[:scan].splitlines()]
+        joined = max(i for i, line in enumerate(above) if "Join" in line)
+        sides = "\n".join(above[joined:])
+        assert "Bucketed: true" in plan
+        target_side = sides[sides.rindex("+- *") if "+- *" in sides else 0 :]
+        assert plan.count("Exchange hashpartitioning") == 1  # the source's
+        assert "Exchange" not in target_side.split("\n", 1)[-1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_merged_rows_are_in_the_table_once(spark):
+    name = _target(spark)
+    source = spark.createDataFrame([("k1", 9), ("new", 2), ("new", 1), ("other", None)], "k string, v long")
+    assert insert_missing_rows(spark, name, source, ["k"]) == 2
+    assert insert_missing_rows(spark, name, source, ["k"]) == 0
+    rows = {r["k"]: r["v"] for r in spark.table(name).collect()}
+    assert len(rows) == 402 == spark.table(name).count()
+    assert rows["new"] == 1 and rows["other"] is None and rows["k1"] == 1
+    assert missing_rows(spark, name, source, ["k"]).count() == 0
+
+
+# --- diffs by digest
+
+
+def test_digest_diff_equals_the_full_diff(spark):
+    schema = "k1 long, k2 string, v string, t timestamp_ntz, x double"
+    t0, t1 = dt.datetime(2024, 1, 1, 0, 0, 0, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 2)
+    same = [(i, "a", f"v{i}", t0, float(i)) for i in range(500)]
+    before = spark.createDataFrame([*same, (1000, "a", None, t0, 1.0), (1001, "a", "x", t0, 1.0), (1002, "b", "gone", None, None), (1004, "t", "t", t0, 0.0)], schema)
+    after = spark.createDataFrame([*same, (1000, "a", "null", t0, 1.0), (1001, "a", None, t0, 1.0), (1003, "c", "new", None, None), (1004, "t", "t", t1, 0.0)], schema)
+    for b, a in ((before, after), (before, before), (before.limit(0), after), (before, after.limit(0))):
+        want = A.audit_diff(b, a, ["k1", "k2"], "T", TS, "me")
+        got = A.audit_diff_by_digest(b, a, ["k1", "k2"], "T", TS, "me", ranges=64)
+        assert got.columns == want.columns and _rows(got) == _rows(want)
+    assert A.audit_diff_by_digest(before, after, ["k1", "k2"], "T", TS, "me").count() == 5  # the last by a microsecond
+
+
+def test_digest_diff_compares_images_of_changed_keys_only(spark, monkeypatch):
+    sizes = {}
+    measured = A.measured
+
+    def counted(df, name):
+        out = measured(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(A, "measured", counted)
+    before = spark.range(5000).selectExpr("id as k", "concat('row ', id) as v")
+    after = before.withColumn("v", F.when(F.col("k").isin(7, 4000), "moved").otherwise(F.col("v")))
+    diff = A.audit_diff_by_digest(before, after, ["k"], "T", TS, "me", ranges=256)
+    assert diff.count() == 2
+    assert sizes == {"ranges-that-differ": 2, "keys-that-differ": 2}
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"BroadcastHashJoin \[k#\d+L\], \[k#\d+L\], LeftSemi", plan)) >= 2  # the snapshots themselves aren't shuffled
