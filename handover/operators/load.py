@@ -258,15 +258,12 @@ def _orders(orders: DataFrame) -> DataFrame:
 def line_sums(transactions_v: DataFrame, items: DataFrame) -> DataFrame:
     """(batch_ref, label, quantity, pct_sum): the valid lines by batch and item name.
 
-    The one aggregate of the lines: the order lines and their lineage both read
-    it. Lines are added up by (batch, item) first, in the tasks that read them,
-    and take the item's name after that; equal names of different items meet in a
-    second, smaller aggregate.
+    The one aggregate of the lines: the order lines and their lineage both read it.
     """
-    t = _valid_lines(transactions_v).filter("batch_ref is not null and item_ref is not null")
-    per_item = t.groupBy("batch_ref", "item_ref").agg(F.sum("qty").alias("q"), F.sum("pct").alias("p"))
-    named = per_item.join(_items(items), F.col("item_ref") == F.col("__iid"))
-    return named.groupBy("batch_ref", F.col("__label").alias("label")).agg(F.sum("q").alias("quantity"), F.sum("p").alias("pct_sum"))
+    it = _items(items)
+    t = _valid_lines(transactions_v)
+    named = t.join(it, t.item_ref == it["__iid"], "inner")
+    return named.groupBy("batch_ref", F.col("__label").alias("label")).agg(F.sum("qty").alias("quantity"), F.sum("pct").alias("pct_sum"))
 
 
 def load_order_details(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from handover.operators.parallel import at_once
 from handover.operators.sizing import measured
 from handover.functions.scalars import (
     COST_MARK,
@@ -175,25 +176,30 @@ def validate_batches(
 
 
 # ----------------------------------------------------------- transaction rules
-def _with_survivor(transactions: DataFrame, keys=DUP_KEYS) -> DataFrame:
-    """Each row with the lowest transaction id of its duplicate group.
+def _duplicate_groups(transactions: DataFrame, keys=DUP_KEYS) -> DataFrame:
+    """Keys (``__s_...``) and lowest transaction id (``__first``) of the groups with more than one row.
 
-    Only groups with more than one row are kept from the aggregate (partial
-    per map task, so a hot group is combined before the shuffle). That frame
-    is usually small; it is written once so the planner sees its real size
-    and broadcasts it when under the threshold, leaving the large side
-    unshuffled; with many duplicates it stays a sort-merge join and AQE
-    splits skewed partitions.
-    Keys are matched null-safely (nulls group together, as in SQL).
+    Partial per map task, so a hot group is combined before the shuffle. Written
+    once, so that the planner sees its real size.
     """
-    keys = list(keys)
-    groups = measured(
+    return measured(
         transactions.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"), F.min("transaction_id").alias("__first"))
         .filter(F.col("__n") > 1)
         .select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__first"),
         "duplicate-groups",
     )
+
+
+def _with_survivor(transactions: DataFrame, keys=DUP_KEYS, groups: DataFrame | None = None) -> DataFrame:
+    """Each row with the lowest transaction id of its duplicate group.
+
+    Only groups with more than one row are joined back. They are usually few,
+    and broadcast when under the threshold, leaving the large side unshuffled;
+    with many duplicates it stays a sort-merge join and AQE splits skewed
+    partitions. Keys are matched null-safely (nulls group together, as in SQL).
+    """
+    groups = _duplicate_groups(transactions, keys) if groups is None else groups
     cond = [transactions[k].eqNullSafe(groups[f"__s_{k}"]) for k in keys]
     return (
         transactions.join(groups, cond, "left")
@@ -233,10 +239,11 @@ def validate_transactions(transactions: DataFrame, items_v: DataFrame, keys=DUP_
     size and broadcasts them when under the threshold, leaving the large
     line table unshuffled.
     """
-    t = _with_survivor(transactions, keys)
-    bad_items_ = measured(
-        items_v.filter(~F.col("is_valid")).select(F.col("item_id").alias("__bad_item")), "invalid-items"
+    groups, bad_items_ = at_once(
+        lambda: _duplicate_groups(transactions, keys),
+        lambda: measured(items_v.filter(~F.col("is_valid")).select(F.col("item_id").alias("__bad_item")), "invalid-items"),
     )
+    t = _with_survivor(transactions, keys, groups)
     j = t.join(bad_items_, refers_to(t, "item_ref", "transaction_id", bad_items_["__bad_item"]), "left")
     code = F.coalesce(_txn_code(), F.when(F.col("__bad_item").isNotNull(), F.lit(TXN_BAD_ITEM)))
     return _with_validity(j, code).drop("survivor_id", "__bad_item")

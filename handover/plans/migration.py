@@ -13,6 +13,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from handover.operators.load import (
     order_detail_lineage,
 )
 from handover.operators.quality import constraint_violations, enforce, staging_violations, with_quality_columns
+from handover.operators.parallel import at_once
 from handover.operators.sizing import measured
 from handover.operators.validate import validate_all
 from handover.schemas import SOURCE_KEYS
@@ -133,9 +135,12 @@ def migrate(
         return (lambda n, first: reserve(spark, o.publish_root, table, n, first)) if o.publish_root else None
 
     def once(name: str, fn: Callable[[], object]):
+        lock = Lock()  # steps run at once wait for one they share; a step only asks for earlier ones
+
         def get():
-            if name not in step:
-                step[name] = fn()
+            with lock:
+                if name not in step:
+                    step[name] = fn()
             return step[name]
 
         return get
@@ -143,7 +148,8 @@ def migrate(
     def _validated():
         staged = {k: with_quality_columns(v, o.as_of) for k, v in sources.items()}
         v = validate_all(staged, o.strict_type, o.enforce_batch_rules)
-        return {k: keep(df, f"validated_{k}") for k, df in v.items()}
+        kept = at_once(*(lambda k=k, df=df: keep(df, f"validated_{k}") for k, df in v.items()))
+        return dict(zip(v, kept))
 
     validated = once("validated", _validated)
     cust = once("cust", lambda: load_customers(validated()["entities"], validated()["locations"], targets["customers"], o.on_code_collision))
@@ -167,11 +173,27 @@ def migrate(
         lambda: load_orders(validated()["batches"], validated()["entities"], customers_all(), targets.get("orders"), o.on_bad_total, keys_of("orders"), o.split_heavy),
     )
     ord_ins = once("ord_ins", lambda: keep(orders()["inserted"], "orders_inserted"))
-    sums = once("line_sums", lambda: measured(load.line_sums(validated()["transactions"], validated()["items"]), "line-sums"))
-    lines = once("lines", lambda: load_order_details(validated()["transactions"], validated()["items"], prod_ins(), ord_ins(), sums(), o.split_heavy))
-    line_lineage = once(
-        "line_lineage", lambda: order_detail_lineage(validated()["transactions"], validated()["items"], prod_ins(), ord_ins(), sums())
-    )
+    def _sums():
+        summed = load.line_sums(validated()["transactions"], validated()["items"])
+        return measured(summed, "line-sums") if o.materialize else summed  # a run reads it twice
+
+    sums = once("line_sums", _sums)
+
+    def keyed():
+        """Products, orders and line sums: none needs another."""
+        validated()
+        return at_once(prod_ins, ord_ins, sums)
+
+    def _lines():
+        products, placed, summed = keyed()
+        return load_order_details(validated()["transactions"], validated()["items"], products, placed, summed, o.split_heavy)
+
+    def _line_lineage():
+        products, placed, summed = keyed()
+        return order_detail_lineage(validated()["transactions"], validated()["items"], products, placed, summed)
+
+    lines = once("lines", _lines)
+    line_lineage = once("line_lineage", _line_lineage)
 
     def _log():
         return lin.insert_log(
@@ -255,8 +277,9 @@ def stage_sources(
     numbers of staged rows.
     """
     clean, about, written, parts = {}, {}, {}, []
-    for t, df in sources.items():
-        done = write_checked(df, t, table_path(root, f"staged_{t}", run_id, attempt), as_of, mode)
+    write = lambda t, df: write_checked(df, t, table_path(root, f"staged_{t}", run_id, attempt), as_of, mode)
+    staged = at_once(*(lambda t=t, df=df: write(t, df) for t, df in sources.items()))
+    for (t, df), done in zip(sources.items(), staged):
         clean[t], written[f"staged_{t}"] = done.clean.select(*df.columns), done.rows
         parts.append(done.violations)
         if mode == "quarantine":

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from handover.functions.scalars import ntz_lit
+from handover.operators.parallel import at_once
 from handover.sinks.marker import names, put_once, text_of
 
 RUNS = "_runs"
@@ -57,12 +58,14 @@ def publish_run(
     refuse_committed(spark, root, run_id)
     attempt = attempt or new_attempt()
     counts: dict[str, int] = dict(already_written or {})
-    for table, df in outputs.items():
-        if table in counts:  # written in place by the run itself
-            continue
+
+    def write(table: str, df: DataFrame) -> tuple[str, int]:
         obs = Observation(f"rows_{table}")
         write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, table, run_id, attempt)
-        counts[table] = int(obs.get["rows"])
+        return table, int(obs.get["rows"])
+
+    # what the run itself has written in place isn't written again
+    counts.update(at_once(*(lambda t=t, df=df: write(t, df) for t, df in outputs.items() if t not in counts)))
     base = root.rstrip("/")
     log = spark.createDataFrame(
         [(run_id, attempt, t, n) for t, n in counts.items()], "run_id string, attempt string, table_name string, row_count long"
