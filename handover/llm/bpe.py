@@ -89,6 +89,9 @@ def _pieces(data: np.ndarray, seg: np.ndarray) -> np.ndarray:
     return at[starts]
 
 
+_FEW = 16
+
+
 class BpeCodec:
     """Byte-level BPE vocabulary read from a ``tokenizers`` JSON file."""
 
@@ -204,6 +207,45 @@ class BpeCodec:
             idx, a, b, limit = idx[go], a[go], b[go], limit[go]
         return out
 
+    @functools.cached_property
+    def _lists(self) -> tuple:
+        """The tables as lists and a dictionary, for single steps."""
+        pairs = dict(zip(self.pair_key.tolist(), self.pair_token.tolist()))
+        left, right = self.left.tolist(), self.right.tolist()
+
+        @functools.lru_cache(maxsize=1 << 16)
+        def apart(a: int, b: int) -> bool:
+            """``compatible`` of one pair."""
+            limit = len(left)
+            while True:
+                if pairs.get(a << 20 | b, limit) < limit:
+                    return False
+                if a > b and a > 255:
+                    a, limit = right[a], a
+                elif b > 255:
+                    b, limit = left[b], b + 1
+                else:
+                    return True
+
+        return self.length.tolist(), self.shorter.tolist(), apart
+
+    def _finish(self, best: list[int], alive: list[bool], stack: list[int], pos: int, tok: int) -> list[int]:
+        """The steps of ``encode_words`` for one word from where it is; the word's tokens."""
+        length, shorter, apart = self._lists
+        while True:
+            end = pos + length[tok]
+            if alive[end] and (not stack or apart(stack[-1], tok)):
+                stack.append(tok)
+                if end == len(best):
+                    return stack
+                pos, tok = end, best[end]
+            elif shorter[tok] >= 0:
+                tok = shorter[tok]
+            else:
+                alive[pos] = False
+                tok = stack.pop()
+                pos -= length[tok]
+
     def encode_words(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """External ids of all words (none empty) end to end, and their number for each word."""
         n = len(off) - 1
@@ -214,6 +256,13 @@ class BpeCodec:
         w = np.arange(n)
         pos, tok = off[:-1].copy(), best[off[:-1]]
         while len(w):
+            if len(w) <= _FEW:  # long words that are left: a step for all of them at once costs more than one for each
+                for i, p, t in zip(w.tolist(), pos.tolist(), tok.tolist()):
+                    a, b = int(off[i]), int(off[i + 1])
+                    whole = self._finish(best[a:b].tolist(), alive[a + i : b + i + 1].tolist(), stack[a : a + depth[i]].tolist(), p - a, t)
+                    depth[i] = len(whole)
+                    stack[a : a + len(whole)] = whole
+                break
             end = pos + self.length[tok]
             ok = alive[end + w]
             top = depth[w]
