@@ -24,6 +24,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -199,7 +200,9 @@ def find(text: str) -> list[tuple[str, int, int]]:
     found = [(m.lastgroup, *m.span(m.lastgroup)) for m in _NUMBERS.finditer(text) if m.lastgroup] if any(c.isdigit() for c in text) else []
     if "@" in text:
         mails = [("email", *m.span("email")) for m in _MAILS.finditer(text)]
-        found = [f for f in found if not any(a < f[2] and f[1] < b for _, a, b in mails)] + mails if mails else found
+        ends = [b for _, _, b in mails]
+        after = [bisect_right(ends, f[1]) for f in found]  # the first mail that ends behind the number's start
+        found = [f for f, i in zip(found, after) if i == len(mails) or mails[i][1] >= f[2]] + mails
     return sorted(found, key=lambda f: f[1])
 
 
