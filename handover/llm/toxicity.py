@@ -6,7 +6,8 @@ toxic label in a bounded sample of labelled documents. A generative model with
 one hidden class estimates from the votes alone how often each voter fires in
 either class (its accuracy) and, by the correlation of voters within a class, how
 much of a voter's evidence others repeat. Its posteriors are the labels on which
-a linear classifier over the votes and their counts is trained.
+a linear classifier over the votes and their counts is trained. Its margin is then
+scaled and shifted to the log odds of the sample's labels.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ LEAST_LOG_ODDS = 1.5  # of a lexicon term, two standard errors below its estimat
 PATTERNS = ("shouting", "exclaiming", "masked word")
 THRESHOLD = 0.3
 _RUNS = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"[A-Za-z]+[*@#$]{2,}[A-Za-z]+")
+_MASKS = re.compile(r"[*@#$]{2,}")
 
 
 def terms(word: str) -> set[str]:
@@ -42,6 +43,12 @@ def terms(word: str) -> set[str]:
     return out
 
 
+def masked(word: str) -> bool:
+    """Whether two or more masking signs stand between letters."""
+    letter = lambda c: c.isascii() and c.isalpha()
+    return any(letter(word[m.start() - 1 : m.start()]) and letter(word[m.end() : m.end() + 1]) for m in _MASKS.finditer(word))
+
+
 class Voters:
     """Votes of all voters on the texts of a buffer."""
 
@@ -58,11 +65,11 @@ class Voters:
             return out
         code, distinct = codes(data, start, length)
         hits: list[tuple[int, int]] = []
-        masked = np.zeros(len(distinct), bool)
+        has_mask = np.zeros(len(distinct), bool)
         for i, raw in enumerate(distinct.to_pylist()):
             word = raw.decode("utf-8", "replace")
             hits += [(i, p) for t in terms(word) if (p := self.place.get(t)) is not None]
-            masked[i] = _MASKED.search(word) is not None
+            has_mask[i] = masked(word)
         by_word: dict[int, list[int]] = {}
         for i, p in hits:
             by_word.setdefault(p, []).append(i)
@@ -76,7 +83,7 @@ class Voters:
         upper, lower = per_row((data >= 65) & (data <= 90)), per_row((data >= 97) & (data <= 122))
         out[:, k] = upper > np.maximum(lower, 10)
         out[:, k + 1] = per_row(data == 0x21) * 4 > n
-        out[:, k + 2] = np.bincount(row[masked[code]], minlength=rows)
+        out[:, k + 2] = np.bincount(row[has_mask[code]], minlength=rows)
         return out
 
 
@@ -127,6 +134,25 @@ def fit_linear(x: np.ndarray, q: np.ndarray, steps: int = 12, ridge: float = 1.0
     return w[:-1], float(w[-1])
 
 
+def calibrate(margin: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int = 30, ridge: float = 1e-2) -> tuple[float, float]:
+    """Scale and shift of the classifier's margin that make it the log odds of the known labels.
+
+    The ranking is the label model's; only where a score lies is learned here, two
+    numbers from weighted labels. With one class only nothing is changed.
+    """
+    if len(np.unique(label)) < 2:
+        return 1.0, 0.0
+    x = np.stack([margin, np.ones(len(margin))], axis=1)
+    weight = weight * len(weight) / weight.sum()
+    w, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (weight * (label - p)) - ridge * (w - start)
+        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge * np.eye(2)
+        w = w + np.linalg.solve(curve, gradient).clip(-1, 1)
+    return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
+
+
 def _lexicon(sample: DataFrame) -> list[str]:
     """The terms most tied to the label, by the lower bound of their log odds over documents."""
 
@@ -181,14 +207,21 @@ def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", key:
         for part in chunks(batches, "text", 1 << 20):
             counts = voters.counts(*text_bytes(part.column("text")))
             off = np.arange(len(counts) + 1, dtype=np.int32) * voters.size
-            yield pa.RecordBatch.from_arrays([part.column("key"), pa.ListArray.from_arrays(pa.array(off), pa.array(counts.ravel(), pa.float32()))], names=["key", "counts"])
+            lists = pa.ListArray.from_arrays(pa.array(off), pa.array(counts.ravel(), pa.float32()))
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("toxic"), lists], names=["key", "toxic", "counts"])
 
     kind = docs.schema["key"].dataType.simpleString()
-    rows = sample.select("key", "text").mapInArrow(vote, f"key {kind}, counts array<float>").toArrow().sort_by("key")  # ordered here: a sort in Spark would run the votes twice
-    counts = np.array(rows.column("counts").to_pylist(), np.float32).reshape(-1, voters.size)
+    rows = sample.select("key", "text", "toxic").mapInArrow(vote, f"key {kind}, toxic int, counts array<float>").toArrow().sort_by("key")  # ordered here: a sort in Spark would run the votes twice
+    counts = rows.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, voters.size)
     if len(counts):
         q, _, _ = label_model((counts > 0).astype(np.float64), len(voters.place))
         weights, bias = fit_linear(features(counts), q)
+        # the sample holds the classes evenly: each label counts for those of its class that it was drawn from
+        toxic = rows.column("toxic").to_numpy()
+        of_class = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        share = np.array([of_class.get(c, 0) / max((toxic == c).sum(), 1) for c in (0, 1)])
+        scale, shift = calibrate(features(counts) @ weights + bias, toxic, share[toxic])
+        weights, bias = weights * scale, bias * scale + shift
     else:
         weights, bias = np.zeros(2 * voters.size + 1), -3.0
     shared = spark.sparkContext.broadcast((voters, weights, bias))
