@@ -27,7 +27,7 @@ from handover.llm.lm import held_out
 BUCKETS = 1 << 15
 DIM = 16
 PER_LANGUAGE = 800
-MAX_LANGUAGES = 200
+SAMPLE_ROWS = 160_000  # of all languages together; many languages have fewer rows each
 EPOCHS = 4
 
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -120,16 +120,16 @@ def _sample(docs: DataFrame) -> tuple[list[str], list[tuple[np.ndarray, np.ndarr
     known = docs.where("text is not null and lang is not null")
     known = known.withColumn("draw", F.xxhash64(F.col("key").cast("string"), F.col("text"), F.lit("draw")))
     draws = scratch.write(known.select("lang", "draw").distinct(), "draws")
-    top = draws.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    top = scratch.write(top, "languages")
-    languages = sorted(r["lang"] for r in top.collect())
+    sizes = scratch.write(draws.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    languages = sorted(r["lang"] for r in sizes.select("lang").collect())  # the classes of the softmax: all are learned
     if not languages:
         return [], [], []
+    each = max(min(PER_LANGUAGE, SAMPLE_ROWS // len(languages)), 1)
     # twice as many as are picked are expected below the first bound, so the order is made of few
     place = F.col("draw") / 2.0**64 + 0.5
-    below = draws.join(F.broadcast(top), "lang").where(place <= 2.0 * PER_LANGUAGE / F.col("n"))
+    below = draws.join(sizes, "lang").where(place <= 2.0 * each / F.col("n"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    picks = scratch.write(below.withColumn("nth", nth).where(F.col("nth") <= PER_LANGUAGE).select("lang", "draw"), "picks")
+    picks = scratch.write(below.withColumn("nth", nth).where(F.col("nth") <= each).select("lang", "draw"), "picks")
     # one of equal rows, found before the shuffle
     picked = known.join(F.broadcast(picks), ["lang", "draw"]).groupBy("lang", "draw").agg(F.min("text").alias("text"))
     picked = picked.select("lang", "text", F.pmod(F.xxhash64("draw", F.lit("part")), F.lit(5)).cast("int").alias("part"))
@@ -142,9 +142,15 @@ def _sample(docs: DataFrame) -> tuple[list[str], list[tuple[np.ndarray, np.ndarr
             lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x.astype(np.int32))) for x in (pair % BUCKETS, n)]
             yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("part"), *lists], names=["lang", "part", "buckets", "counts"])
 
-    rows = picked.mapInArrow(run, "lang string, part int, buckets array<int>, counts array<int>").toArrow()  # PER_LANGUAGE of each language at most
+    rows = picked.mapInArrow(run, "lang string, part int, buckets array<int>, counts array<int>").toArrow()  # SAMPLE_ROWS at most
     at = {k: i for i, k in enumerate(languages)}
-    found = [(np.array(b, np.int64), np.array(c, np.float32), at[k], p) for k, p, b, c in zip(*(rows.column(c).to_pylist() for c in ("lang", "part", "buckets", "counts")))]
+    found = []
+    for batch in rows.to_batches():
+        lists = [batch.column(c) for c in ("buckets", "counts")]
+        cuts = lists[0].offsets.to_numpy() - lists[0].offsets[0].as_py()
+        bucket, count = (x.flatten().to_numpy() for x in lists)  # views, not Python lists
+        for k, p, a, b in zip(batch.column("lang").to_pylist(), batch.column("part").to_pylist(), cuts, cuts[1:]):
+            found.append((bucket[a:b], count[a:b].astype(np.float32), at[k], p))
     found.sort(key=lambda d: (d[2], len(d[0]), d[1].sum()))  # the order of rows doesn't matter
     return languages, [d[:3] for d in found if d[3]], [d[:3] for d in found if not d[3]]
 
@@ -153,7 +159,8 @@ def identify(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str
     """(key, held_out, lang_pred, score, rejected), a row for each row of ``docs``.
 
     Learns from rows with text and language outside the held-out fold (null keys
-    count as outside); the ``MAX_LANGUAGES`` most frequent languages are learned.
+    count as outside); every language there is learned, from ``PER_LANGUAGE`` rows
+    or, with many languages, as many as ``SAMPLE_ROWS`` leaves for each.
     ``und`` with score 0 for null texts and texts without a letter, and for all if
     nothing could be learned. ``score`` is the calibrated probability; a row is
     ``rejected`` if it is below the calibrated bound, or ``und``. Other columns
