@@ -167,8 +167,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: s
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that hold a benchmark item (documents with a null key are compared by text)."""
-    tag = F.coalesce(F.col(f"`{key}`").cast("string"), F.concat(F.lit("text "), F.sha2(F.col(f"`{text}`"), 256)))
-    keyed = docs.withColumn("__tag", tag)
-    leaks = find_leaks(keyed, benchmark, text, "__tag", **options).select("__tag").distinct()
+    plain = docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in docs.columns))
+    tag = F.coalesce(F.col(f"`in_{key}`").cast("string"), F.concat(F.lit("text "), F.sha2(F.col(f"`in_{text}`"), 256)))
+    keyed = plain.withColumn("tag", tag)
+    leaks = find_leaks(keyed, benchmark, f"in_{text}", "tag", **options).select("tag").distinct()
     leaks = scratch.write(leaks, "leaks")
-    return keyed.join(_bounded(leaks), "__tag", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return keyed.join(_bounded(leaks), "tag", "left_anti").select(*(F.col(f"`in_{c}`").alias(c) for c in docs.columns))

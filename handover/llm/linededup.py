@@ -31,7 +31,8 @@ def remove_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_i
     made = ("n_lines", "n_removed")
     keep = [c for c in docs.columns if c not in made]
     # a written copy: its row numbers don't change if a task runs again
-    rows = scratch.write(docs.select(*(F.col(f"`{c}`") for c in keep), F.monotonically_increasing_id().alias("__row")), "line-docs")
+    rows = scratch.write(docs.select(*(F.col(f"`{c}`").alias(f"in_{c}") for c in keep), F.monotonically_increasing_id().alias("__row")), "line-docs")
+    text, key = f"in_{text}", f"in_{key}"  # no clash with the helpers' names
     lines = F.transform(F.split(F.col(f"`{text}`"), "\n", -1), lambda x, i: F.struct(i.alias("at"), F.regexp_replace(x, "^[ \\x09-\\x0D]+|[ \\x09-\\x0D]+$", "").alias("line")))
     listed = rows.where(F.col(f"`{text}`").contains("\n")).select(F.col(f"`{key}`").alias("__key"), "__row", F.filter(lines, lambda x: x["line"] != "").alias("__l"))
     triple = F.arrays_zip(*(F.slice("__l", i + 1, F.greatest(F.size("__l") - _SIZE + 1, F.lit(0))).alias(f"l{i}") for i in range(_SIZE)))
@@ -54,7 +55,7 @@ def remove_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_i
     stay = F.array_except(F.sequence(F.lit(0), F.size("__all") - 1), F.col("__gone"))
     left = F.array_join(F.transform(stay, lambda i: F.get(F.col("__all"), i)), "\n")
     return cut.select(
-        *(F.when(F.col("__gone").isNull(), F.col(f"`{c}`")).otherwise(left).alias(c) if c == text else F.col(f"`{c}`") for c in keep),
+        *((F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(left) if f"in_{c}" == text else F.col(f"`in_{c}`")).alias(c) for c in keep),
         n.cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -139,7 +139,7 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang"
     left out: the guarantee is for those that reach the rules. Null is a stratum
     like any other. The counts are one row per (stratum, rule, cutoff).
     """
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min(label).alias("__good"))
+    known = labels.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("__key")).agg(F.min(F.col(f"`{label}`")).alias("__good"))
     rows = measured.where(~base_failed()).select(F.col(f"`{key}`").alias("__key"), F.col(f"`{stratum}`").cast("string").alias("stratum"), *MEASURES).join(known, "__key")
     # a value passes the first so many cutoffs of its grid, so one small histogram per stratum and rule holds all counts
     rule = F.array(*(F.struct(F.lit(name).alias("rule"), F.expr(f"size(filter(array({', '.join(f'{c}D' for c in grid)}), c -> cast({sql} as double) >= c))").alias("level")) for name, (sql, grid) in RULES.items()))
@@ -180,8 +180,8 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Dat
 
 def filter_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that pass the base rules and their stratum's cutoffs, with the columns of ``docs``."""
-    taken = [c for c in docs.columns if c in MEASURES or c in ("base_failed", "kept")]
-    plain = docs.select(*(F.col(f"`{c}`").alias(f"__in_{c}" if c in taken else c) for c in docs.columns))
-    cutoffs = choose_cutoffs(measure(plain.select(key, stratum, text), text).drop(text), labels, stratum, key)
-    judged = judge(measure(plain, text), scratch.write(cutoffs, "chosen"), stratum)
-    return judged.where("kept").select(*(F.col(f"`__in_{c}`").alias(c) if c in taken else F.col(f"`{c}`") for c in docs.columns))
+    own = {c: f"in_{c}" for c in docs.columns}  # no clash with the measures and helpers
+    plain = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()))
+    cutoffs = choose_cutoffs(measure(plain.select(own[key], own[stratum], own[text]), own[text]).drop(own[text]), labels.withColumnRenamed(key, own[key]), own[stratum], own[key])
+    judged = judge(measure(plain, own[text]), scratch.write(cutoffs, "chosen"), own[stratum])
+    return judged.where("kept").select(*(F.col(f"`{n}`").alias(c) for c, n in own.items()))

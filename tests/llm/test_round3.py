@@ -312,3 +312,102 @@ def test_other_filters_and_no_duplicate_filter(spark):
     flags = filteraudit.label_flags(spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     out = filteraudit.interactions(filteraudit.failures(df, filters=short, duplicate=None), flags, "S").collect()
     assert [(r["filter_order"], r["kept"], r["removed"], r["shapley"]) for r in out] == [("S", 2, 1, 1)]
+
+
+# --- long words and texts, names that clash, calibration, many languages
+
+
+def long_texts():
+    rng = random.Random(12)
+    letters = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))
+    base64 = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1_000_000))
+    return {"letters": letters, "base64": base64, "mails": " ".join(f"a{i}@x.example.com 555-{i % 1000:03d}-{i % 10000:04d}" for i in range(28_000))}
+
+
+@pytest.mark.parametrize("name", ["letters", "base64", "mails"])
+def test_a_million_characters_in_one_text(name):
+    """Each takes seconds: no step is quadratic in the length of a word or a text."""
+    import time
+
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from handover.llm import bpe, pii, toxicity
+
+    text = long_texts()[name]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    codec = bpe.codec(path)
+    data = np.frombuffer(text.encode(), np.uint8)
+    began = time.time()
+    ids, off = codec.encode(pa.array([text]))
+    toxicity.Voters([]).counts(data, np.array([0, len(data)]))
+    _, spans = pii.pseudonymise(text, b"k")
+    assert time.time() - began < 30
+    assert codec.decode(ids, off).to_pylist() == [text]
+    assert (len(spans) > 40_000) == (name == "mails")
+    part = text[:100_000]
+    assert codec.encode(pa.array([part]))[0].tolist() == Tokenizer.from_file(path).encode(part, add_special_tokens=False).ids
+
+
+def test_masked_words_by_their_signs():
+    from handover.llm import toxicity
+
+    pattern = re.compile(r"[A-Za-z]+[*@#$]{2,}[A-Za-z]+")
+    rng = random.Random(3)
+    for _ in range(3000):
+        word = "".join(rng.choice("ab1é*@#$") for _ in range(rng.randint(0, 9)))
+        assert toxicity.masked(word) == (pattern.search(word) is not None), word
+
+
+def test_margins_are_calibrated_on_labels():
+    from handover.llm import toxicity
+
+    rng = np.random.default_rng(5)
+    margin = rng.normal(0, 3, 4000)
+    label = (rng.random(4000) < 1 / (1 + np.exp(-(0.5 * margin - 1)))).astype(int)
+    scale, shift = toxicity.calibrate(margin, label, np.ones(4000))
+    assert abs(scale - 0.5) < 0.1 and abs(shift + 1) < 0.2
+    assert toxicity.calibrate(margin, np.zeros(4000, int), np.ones(4000)) == (1.0, 0.0)
+    scale, _ = toxicity.calibrate(margin, 1 - label, np.ones(4000))
+    assert scale > 0  # the ranking is never turned round
+
+
+def test_held_out_toxicity_at_the_threshold(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    held = queries.op6_toxicity(spark, sf).where("held_out").join(labels, "doc_id").collect()
+    hit = sum(r["predicted"] and r["toxic"] for r in held)
+    assert hit >= 0.75 * sum(r["toxic"] for r in held)
+    assert hit >= 0.7 * sum(r["predicted"] for r in held)
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    from handover.llm import langid
+
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 230 * 15)  # fewer than there are
+    rng = random.Random(7)
+    stems = {f"l{i:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(4)] for i in range(230)}
+    rows = [(100 * i + j, " ".join(rng.choice(w) for _ in range(30)), lang) for i, (lang, w) in enumerate(stems.items()) for j in range(20)]
+    out = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    got = {r["doc_id"]: r["lang_pred"] for r in out.collect()}
+    assert len(set(got.values())) > 220  # a bound of 200 would show
+    assert sum(got[k] == lang for k, _, lang in rows) > 0.9 * len(rows)
+
+
+def test_columns_named_like_helpers_are_kept(spark):
+    from handover.llm import decontam, linededup, quality
+
+    names = ["__tag", "tag", "__row", "__gone", "__l", "__key", "__all", "__stratum", "stratum", "n_words", "kept", "h1", "a0", "th", "words"]
+    text = "\n".join(" ".join(f"w{i}{j}" for j in range(9)) for i in range(9))
+    rows = [(i, text + f" {i}", "en", *names) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{n}` string" for n in names))
+    bench = spark.createDataFrame([(1, "nothing of it is in the texts above")], "item_id long, text string")
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    for out, n in ((decontam.remove_contaminated(df, bench), 3), (quality.filter_documents(df, labels), 3)):
+        assert out.columns == df.columns
+        assert [list(r)[3:] for r in out.collect()] == [names] * n
+    cut = linededup.remove_repeated_lines(df)
+    assert cut.columns == [*df.columns, "n_lines", "n_removed"]
+    assert sorted((r["doc_id"], r["n_removed"]) for r in cut.collect()) == [(0, 0), (1, 8), (2, 8)]
+    assert all(list(r)[3:-2] == names for r in cut.collect())
