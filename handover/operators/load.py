@@ -82,7 +82,9 @@ def load_customers(
     """Insert customers whose code is not yet in the target.
 
     Two new entities with one code would both be 'not matched' and break the
-    key; the lowest entity id wins and the others go to ``collisions``. The
+    key; the lowest entity id wins and the others go to ``collisions``. An
+    entity whose code belongs to a customer of another name that was there
+    before isn't inserted, as in a merge, and is listed in ``clashes``. The
     winner is picked by ``min(struct(entity_id, ...))`` per code, an
     aggregate with map-side combine, so a very common code is not one task.
     ``on_code_collision="fail"`` raises instead, if there is any.
@@ -101,7 +103,11 @@ def load_customers(
     if on_code_collision == "fail" and collisions.limit(1).count() > 0:  # an existence probe, not a collect
         raise CodeCollisionError("two new customers have one code")
     inserted = winners.select("entity_id", *CUSTOMER_COLS)
+    # merged away by a customer that was there before, under another name
+    held = existing.select("customer_id", F.col("company_name").alias("existing_company_name")).dropna(subset=["customer_id"])
+    clashes = cand.join(held, "customer_id").filter(~F.col("company_name").eqNullSafe(F.col("existing_company_name")))
     return {
+        "clashes": clashes.select("entity_id", "customer_id", "company_name", "existing_company_name"),
         "inserted": inserted,
         "collisions": collisions.select("entity_id", "customer_id", "company_name", "winner_entity_id"),
         "target": union_target(existing, inserted.withColumn("contact_name", F.lit(None).cast("string"))),

@@ -224,6 +224,7 @@ def migrate(
             "validated_transactions": lambda: validated()["transactions"],
             "customers_inserted": cust_ins,
             "customer_code_collisions": lambda: cust()["collisions"],
+            "customer_code_clashes": lambda: cust()["clashes"],
             "suppliers_inserted": sup_ins,
             "products_inserted": prod_ins,
             "orders_inserted": ord_ins,

@@ -184,6 +184,10 @@ def q_customer_code_collisions(spark, d):
     return _migration(spark, d)["customer_code_collisions"]
 
 
+def q_customer_code_clashes(spark, d):
+    return _migration(spark, d)["customer_code_clashes"]
+
+
 def q_orders_unmatched(spark, d):
     return _migration(spark, d)["orders_unmatched"]
 

@@ -172,3 +172,20 @@ def test_reason_of_an_unmatched_batch(spark):
     batches = spark.createDataFrame([(10 * i, i, True) for i in range(1, 6)] + [(99, None, False)], "batch_id int, reference_id int, is_valid boolean")
     got = {r.batch_id: r.reason for r in LD.orders_unmatched(batches, ent, loc, customers).collect()}
     assert got == {20: "CODE_CLASH", 30: "NO_ADDRESS", 40: "NOT_A_CUSTOMER", 50: "NO_NAME"}
+
+
+def test_code_of_an_existing_customer(spark):
+    """A new entity whose code belongs to a customer of another name isn't inserted, and is listed."""
+    from handover.functions.scalars import customer_code
+
+    ent = spark.createDataFrame(
+        [(1, "Alpha", "A", 1, "p"), (2, "Beta", "A", 1, "p"), (3, "Gamma", "A", 1, "p")], "entity_id long, entity_label string, type_flag string, location_ref int, contact_info string"
+    )
+    loc = spark.createDataFrame([(1, "s", "m", "r", "z")], "location_id int, street_addr string, municipality string, region_code string, postal_code string")
+    codes = {r["entity_label"]: r["c"] for r in ent.select("entity_label", customer_code("entity_label").alias("c")).collect()}
+    cols = ["customer_id", "company_name", "contact_name", "phone", "address", "city", "region", "postal_code", "country"]
+    rows = [(codes["Alpha"], "Other", *[None] * 7), (codes["Beta"], "Beta", *[None] * 7)]
+    existing = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    out = LD.load_customers(ent, loc, existing)
+    assert [tuple(r) for r in out["clashes"].collect()] == [(1, codes["Alpha"], "Alpha", "Other")]
+    assert [r["entity_id"] for r in out["inserted"].collect()] == [3] and out["collisions"].count() == 0
