@@ -411,3 +411,93 @@ def test_columns_named_like_helpers_are_kept(spark):
     assert cut.columns == [*df.columns, "n_lines", "n_removed"]
     assert sorted((r["doc_id"], r["n_removed"]) for r in cut.collect()) == [(0, 0), (1, 8), (2, 8)]
     assert all(list(r)[3:-2] == names for r in cut.collect())
+
+
+# --- op1: the mixer as a slow loop, and what it gains
+
+
+def plain_mixer(model, symbols):
+    """log10 probability of one text's decisions, one decision at a time; weights refined after every 64 words."""
+    from handover.llm import lm
+
+    c = model.coder
+    w = {g: model.weights[g].astype(float).tolist() for g in range(8)}
+    symbol = np.array(symbols)
+    index, node, bit, *slots = c.word_events(symbol, np.arange(len(symbol)))
+    total, pending, block = 0.0, [], 0
+    for i, n, y, *s in zip(index.tolist(), node.tolist(), bit.tolist(), *(x.tolist() for x in slots)):
+        if i // 64 != block:
+            for g, step in pending:
+                w[g] = [a + b for a, b in zip(w[g], step)]
+            pending, block = [], i // 64
+        seen = [int(model.tables[k][slot]) for k, slot in enumerate(s)]
+        g = sum((v != 0) << k for k, v in enumerate(seen))
+        x = [float(c.logit[n]), *(v / 16 for v in seen)]
+        logit = sum(a * b for a, b in zip(w[g], x))
+        total -= math.log10(1 + math.exp(max(-12.0, min(12.0, logit * (1 - 2 * y)))))
+        p = 1 / (1 + math.exp(-max(-12.0, min(12.0, logit))))
+        pending.append((g, [(y - p) * lm._RATE * v for v in x]))
+    return total
+
+
+def test_scores_equal_a_slow_mixer():
+    from handover.llm import lm
+
+    rng = np.random.default_rng(4)
+    words = [(lm.END, 50), *((b"w%d" % i, int(1000 / (i + 1)) + 1) for i in range(60))]
+    coder = lm.Coder(words, 30, bits=12)
+    tables = rng.integers(-60, 61, (3, 1 << 12)).astype(np.int8)
+    tables[rng.random(tables.shape) < 0.4] = 0  # contexts that weren't seen
+    model = lm.Model(coder, tables)
+    model.weights = rng.normal(0.3, 0.2, model.weights.shape).astype(np.float32)
+    texts = [rng.integers(0, 62, n).tolist() for n in (1, 63, 64, 65, 700, 2)]
+    symbol = np.array([s for t in texts for s in t])
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    place = np.concatenate([np.arange(len(t)) for t in texts])
+    got = model.score(symbol, row, place, len(texts))
+    assert np.allclose(got, [plain_mixer(model, t) for t in texts], rtol=1e-4)
+
+
+def test_decisions_of_a_text_have_probability_one():
+    """Over all words that may come next, the paths' probabilities add up to 1."""
+    from handover.llm import lm
+
+    rng = np.random.default_rng(9)
+    coder = lm.Coder([(lm.END, 5), *((b"w%d" % i, i + 2) for i in range(30))], 4, bits=10)
+    model = lm.Model(coder, rng.integers(-50, 51, (3, 1 << 10)).astype(np.int8))
+    before = rng.integers(0, 31, 7).tolist()
+    alone = model.score(np.array(before), np.zeros(7, int), np.arange(7), 1)[0]
+    n = 32
+    texts = np.array([[*before, s] for s in range(n)])
+    scores = model.score(texts.ravel(), np.repeat(np.arange(n), 8), np.tile(np.arange(8), n), n)
+    assert math.isclose(sum(10 ** (scores - alone)), 1, rel_tol=1e-4)
+
+
+def test_counts_in_place_equal_counted_events():
+    from handover.llm import lm
+
+    rng = np.random.default_rng(2)
+    counter = lm._Counter(8)
+    want = np.zeros((3, 512), int)
+    for _ in range(4):
+        bit, slots = rng.integers(0, 2, 1000).astype(np.int8), rng.integers(0, 256, (3, 1000)).astype(np.uint32)
+        counter.add((None, None, bit, *slots))
+        for k in range(3):
+            want[k] += np.bincount(2 * slots[k].astype(int) + bit, minlength=512)
+    assert (counter.table == want).all()
+
+
+def test_held_out_gain_over_the_base(spark):
+    out = queries.op1_lm_scores(spark, "/root/testdata/sf0.01").groupBy("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).collect()
+    for r in out:
+        assert (r["s"] - r["b"]) / r["n"] > 0.5
+
+
+def test_a_repeated_row_is_scored_as_often(spark):
+    from handover.llm import lm
+
+    rows = [(i, f"some words and some more {i % 7}") for i in range(40)] + [(7, "again and again")] * 50 + [(None, None)] * 3
+    out = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(out) == len(rows)
+    again = [tuple(r) for r in out if r["doc_id"] == 7 and r["n_tokens"] == 4]
+    assert len(again) == 50 and len({(a[1:5], round(a[6], 9)) for a in again}) == 1
