@@ -38,14 +38,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's log10 probability under the mixing model and under the unigram base, by document."""
     return lm.score_documents(_table(spark, sf_dir, "documents"))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's language, or und, by document."""
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every whole text and whether the base rules and the learned cutoffs keep it."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     measured = quality.scratch.write(quality.measure(docs).drop("text"), "measured")
     cutoffs = quality.choose_cutoffs(measured, _table(spark, sf_dir, "labels"))
@@ -53,18 +56,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best window of each document and benchmark item from a similarity of 0.8 on.
+
+    Candidates are found by shared shingles; SimHash fingerprints only verify, before the exact
+    similarity (README says why blocks of a radius of some 30 bits can't find).
+    """
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suffix sums of the exact histogram of encoded lengths, a row for each length."""
     return lengths.suffix_sums(lengths.histogram(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text's toxicity score, by document."""
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every whole text's token ids, and the digest of what they decode to."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     done = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded="decoded")
     return done.select(
@@ -76,16 +87,19 @@ def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text with its numbers, dates and addresses replaced by pseudonyms of their format."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise_documents(docs, PSEUDONYM_KEY).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), F.to_json("pii").alias("replaced"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, removed lines and the digest of what is left of every text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.remove_repeated_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: four-word shingles, four bits."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.components(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
