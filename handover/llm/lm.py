@@ -11,8 +11,9 @@ from three hashed contexts (words: the last, the one before, both; bytes: the
 last one, two and three of the word), whose zeros and ones were counted over all
 training texts. The logits are mixed with weights picked by a gate - which
 contexts have been seen, and the kind of decision. The mixer starts from weights
-fitted on a few training texts before they are counted, and each text then
-refines its own weights by the gradient after every block of words.
+fitted on all training texts, each half of them on the counts of the other half,
+and each text then refines its own weights by the gradient after every block of
+words.
 
 What is gathered: a count for every distinct word of the corpus (a table, joined
 by word), and the context counts, summed by block in slots whose number follows
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,7 @@ END = b" "  # no word holds a space
 TREE_WORDS = 65_536
 TREE_WORD_BYTES = 64
 LEAST_BITS, MOST_BITS = 20, 21  # of a context table: eight slots and more for each training token, as far as a worker's memory goes
-FIT_DOCS = 300  # texts that the mixer is fitted on, a quarter of the training texts at most
-FIT_WORDS = 1_300  # words of each of them
+FIRST_STEPS = 3  # Newton steps of a task on its first decisions of a kind, before it goes on to others
 _CONTEXTS, _GATES = 3, 16
 _SLOTS = 4096  # of a block that is summed as one row
 _BLOCK = 64  # words between two refinements of a text's weights
@@ -198,10 +199,10 @@ def _table_rows(counter: _Counter) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([pa.compress(parts[i].tobytes(), "zstd", asbytes=True) for i in ids], pa.binary())], names=["block", "payload"])
 
 
-def context_counts(docs: DataFrame, types: DataFrame, coder, fit: DataFrame, text: str = "text") -> DataFrame:
-    """(block, before, logits): int8 logits of each block's slots, counted over all texts and spelled words (``types``: token).
+def context_counts(docs: DataFrame, types: DataFrame, coder, text: str = "text") -> DataFrame:
+    """(block, first, second, logits): int8 logits of each block's slots, counted over all texts and spelled words (``types``: token).
 
-    ``docs`` and ``fit`` are the training texts in two parts; ``before`` are the logits without the second.
+    ``docs`` and ``types`` are dealt to two halves (``half``: boolean); ``first`` and ``second`` are the logits of one half alone.
     """
     def in_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, table = coder.value, _Counter(coder.value.table_bits)
@@ -225,18 +226,19 @@ def context_counts(docs: DataFrame, types: DataFrame, coder, fit: DataFrame, tex
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, payload, late in zip(batch.column("block").to_pylist(), batch.column("payload"), batch.column("late").to_pylist()):
+            for block, payload, half in zip(batch.column("block").to_pylist(), batch.column("payload"), batch.column("half").to_pylist()):
                 n = sums.setdefault(block, np.zeros((2, 2 * _SLOTS), np.int64))
-                n[int(late)] += np.frombuffer(pa.decompress(payload.as_buffer(), 8 * _SLOTS, "zstd"), np.int32)
+                n[int(half)] += np.frombuffer(pa.decompress(payload.as_buffer(), 8 * _SLOTS, "zstd"), np.int32)
         for block, n in sums.items():
-            columns = [pa.array([block], pa.int32()), pa.array([logits(n[0])], pa.binary()), pa.array([logits(n[0] + n[1])], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "before", "logits"])
+            columns = [pa.array([block], pa.int32()), *(pa.array([logits(x)], pa.binary()) for x in (n[0], n[1], n[0] + n[1]))]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "first", "second", "logits"])
 
-    schema = "block int, payload binary"
-    counted = lambda df, late: df.select(F.col(f"`{text}`")).mapInArrow(in_texts, schema).withColumn("late", F.lit(late))
-    spelled = types.select("token").mapInArrow(in_types, schema).withColumn("late", F.lit(False))
-    partial = counted(docs, False).unionByName(counted(fit, True)).unionByName(spelled)
-    return partial.repartition("block").mapInArrow(total, "block int, before binary, logits binary")
+    def counted(df: DataFrame, column: str, run, half: bool) -> DataFrame:
+        own = df.where(F.col("half") == half).select(F.col(f"`{column}`"))
+        return own.mapInArrow(run, "block int, payload binary").withColumn("half", F.lit(half))
+
+    partial = [counted(df, column, run, half) for df, column, run in ((docs, text, in_texts), (types, "token", in_types)) for half in (False, True)]
+    return reduce(DataFrame.unionByName, partial).repartition("block").mapInArrow(total, "block int, first binary, second binary, logits binary")
 
 
 class Model:
@@ -301,46 +303,71 @@ class Model:
                     np.add.at(weights[k], key, miss * v[k])
         return out / np.log(10)
 
-    def fit(self, events, kind: int) -> None:
-        """Start weights of the gates of a kind by Newton steps towards the present ones."""
+    def by_gate(self, events, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs and bits of the decisions sorted by gate, and where each gate's begin."""
         x, gate = self._inputs(events, kind)
-        y = events[2]
-        for g in np.unique(gate):
-            v, t, w = x[:, gate == g].astype(np.float64), y[gate == g], self.weights[g].astype(np.float64)
-            start = w.copy()
-            for _ in range(8):
-                p = 1 / (1 + np.exp(-(w @ v).clip(-12, 12)))
-                gradient = v @ (t - p) - 10 * (w - start)
-                w = w + np.linalg.solve((v * (p * (1 - p))) @ v.T + 10 * np.eye(4), gradient).clip(-0.5, 0.5)
-            self.weights[g] = w
+        order = np.argsort(gate, kind="stable")
+        return x[:, order], events[2][order].astype(np.float32), np.concatenate([[0], np.cumsum(np.bincount(gate, minlength=_GATES))])
 
+    def slopes(self, x: np.ndarray, y: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By gate: the curvature H of the log likelihood at the present weights w, and H w + its gradient."""
+        curve, pull = np.zeros((_GATES, 4, 4)), np.zeros((_GATES, 4))
+        for g in np.flatnonzero(np.diff(cuts)):
+            v, w = x[:, cuts[g] : cuts[g + 1]], self.weights[g]
+            p = 1 / (1 + np.exp(-(w @ v).clip(-12, 12)))
+            curve[g] = (v * (p * (1 - p))) @ v.T
+            pull[g] = curve[g] @ w + v @ (y[cuts[g] : cuts[g + 1]] - p)
+        return curve, pull
 
-def _fit_weights(docs: DataFrame, model, text: str) -> np.ndarray:
-    """Start weights from a bounded number of texts, in one task."""
+    def solved(self, curve: np.ndarray, pull: np.ndarray) -> np.ndarray:
+        """The weights that such sums lead to, held a little to the present ones."""
+        return np.stack([np.linalg.solve(h + 10 * np.eye(4), b + 10 * w) for h, b, w in zip(curve, pull, self.weights.astype(np.float64))]).astype(np.float32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        m.weights = m.weights.copy()
-        end = int(m.coder.symbols(pa.array([END], pa.large_binary()))[0])
-        parts, spelled = [], []
-        for part in chunks(batches, text, _EVENTS):
-            code, distinct, row, rows = _tokens(part, text)
-            known = m.coder.symbols(distinct)
-            symbol, text_row, place = _with_ends(known[code] if len(code) else code, row, rows, end)
-            # words spread evenly over each text, with the contexts that they have there
-            step = -(-np.bincount(text_row, minlength=rows) // FIT_WORDS)
-            parts.append(m.coder.word_events(symbol, place, np.flatnonzero(place % step[text_row] == 0)))
-            rare = np.flatnonzero(known == m.coder.escape)
-            rare = rare[:: max(1, -(-len(rare) // (FIT_WORDS * rows)))]
-            spelled.append(m.coder.byte_events(*binary_parts(distinct.take(pa.array(rare)))))
-        for kind, found in ((0, parts), (1, spelled)):
-            joined = tuple(np.concatenate(x) for x in zip(*found)) if found else ()
-            if joined and len(joined[1]):
-                m.fit(joined, kind)
-        yield pa.RecordBatch.from_arrays([pa.array([m.weights.astype(np.float32).tobytes()], pa.binary())], names=["weights"])
-
-    got = docs.select(F.col(f"`{text}`")).coalesce(1).mapInArrow(run, "weights binary").collect()
-    return np.frombuffer(bytes(got[0]["weights"]), np.float32).reshape(_GATES, 4) if got else model.value.weights
+
+def _fit_weights(docs: DataFrame, types: DataFrame, models, text: str) -> np.ndarray:
+    """Start weights from all texts and spelled words (``types``: token), each on the counts of the half it isn't in.
+
+    Every task adds up the slopes of all its decisions, each part's at the weights
+    that the parts before it lead to; the sums of all tasks are solved once.
+    """
+
+    def sums(kind: int, half: bool, column: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            start = models.value[not half]
+            m = Model(start.coder, start.tables)
+            end = int(m.coder.symbols(pa.array([END], pa.large_binary()))[0])
+            total = None
+            for part in chunks(batches, column, _EVENTS):
+                if kind:
+                    events = m.coder.byte_events(*binary_parts(part.column("token").cast(pa.large_binary())))
+                else:
+                    code, distinct, row, rows = _tokens(part, column)
+                    symbol, _, place = _with_ends(m.coder.symbols(distinct)[code] if len(code) else code, row, rows, end)
+                    events = m.coder.word_events(symbol, place)
+                if not len(events[1]):
+                    continue
+                sorted_ = m.by_gate(events, kind)
+                if total is None:
+                    for _ in range(FIRST_STEPS):
+                        m.weights += (start.solved(*m.slopes(*sorted_)) - m.weights).clip(-0.5, 0.5)
+                found = m.slopes(*sorted_)
+                total = found if total is None else (total[0] + found[0], total[1] + found[1])
+                m.weights = start.solved(*total)
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in total], names=["curve", "pull"])
+
+        return run
+
+    parts = [
+        df.where(F.col("half") == half).select(F.col(f"`{column}`")).mapInArrow(sums(kind, half, column), "curve binary, pull binary")
+        for kind, df, column in ((0, docs, text), (1, types, "token"))
+        for half in (False, True)
+    ]
+    curve, pull = np.zeros((_GATES, 4, 4)), np.zeros((_GATES, 4))
+    for r in reduce(DataFrame.unionByName, parts).collect():  # 3 kB of each task
+        curve += np.frombuffer(bytes(r["curve"])).reshape(curve.shape)
+        pull += np.frombuffer(bytes(r["pull"])).reshape(pull.shape)
+    return models.value[0].solved(curve, pull)
 
 
 def held_out(key: Column, folds: int, fold: int) -> Column:
@@ -388,23 +415,19 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", fo
     known_rare = 2 * whole["twice"] + rare - whole["once"]
     novel = (whole["once"] + 1) / (whole["once"] + known_rare + 2)
 
-    # a few training texts fit the mixer, on context counts without them; then they are counted too
-    mark = F.xxhash64(F.col("key"), F.col("text"))
-    marks = scratch.write(train.select(mark.alias("m")).distinct(), "marks")
-    picked = marks.orderBy("m").limit(min(FIT_DOCS, -(-marks.count() // 4)))
-    bound = picked.agg(F.max("m")).first()[0]
-    late = mark <= F.lit(bound if bound is not None else 0)
-    fit = scratch.write(train.where(late).groupBy(mark.alias("m")).agg(F.min("text").alias("text")).select("text"), "fit-texts")  # FIT_DOCS rows at most
-    spelled = rare_words.where("c <= 2") if rare else counts.where(is_word)
-    blocks = context_counts(train.where(~late), spelled, coder, train.where(late)).collect()  # 6 x 2**MOST_BITS bytes at most
+    # all training texts fit the mixer, each on the context counts of the half that it isn't in
+    halves = lambda df, *by: df.withColumn("half", F.xxhash64(*by) % 2 != 0)
+    train = halves(train, "key", "text")
+    spelled = halves(rare_words.where("c <= 2") if rare else counts.where(is_word), "token")
+    blocks = context_counts(train, spelled, coder).collect()  # 9 x 2**MOST_BITS bytes at most
     tables = {}
-    for which in ("before", "logits"):
+    for which in ("first", "second", "logits"):
         tables[which] = np.zeros(_CONTEXTS << bits, np.int8)
         for b in blocks:
             tables[which][b["block"] * _SLOTS : (b["block"] + 1) * _SLOTS] = np.frombuffer(bytes(b[which]), np.int8)
-    model = Model(coder.value, tables["before"].reshape(_CONTEXTS, -1))
-    weights = _fit_weights(fit, sc.broadcast(model), "text")
-    model = Model(coder.value, tables["logits"].reshape(_CONTEXTS, -1))
+        tables[which] = tables[which].reshape(_CONTEXTS, -1)
+    weights = _fit_weights(train, spelled, sc.broadcast([Model(coder.value, tables[x]) for x in ("first", "second")]), "text")
+    model = Model(coder.value, tables["logits"])
     model.weights = weights
     shared = sc.broadcast(model)
     n, v = whole["n"], whole["v"]
