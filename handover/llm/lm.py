@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from handover.llm import scratch
-from handover.llm.batches import LOWER, binary_parts, chunks, codes, ragged, text_bytes, words
+from handover.llm.batches import binary_parts, chunks, codes, ragged, text_bytes, words
 
 END = b" "  # no word holds a space
 TREE_WORDS = 65_536
@@ -45,6 +45,8 @@ _SLOTS = 4096  # of a block that is summed as one row
 _BLOCK = 64  # words between two refinements of a text's weights
 _RATE = 0.002
 _EVENTS = 1 << 19  # bytes of text whose decisions are held at once
+_LOOKUP = 16 << 20  # bytes of rows and codes, from so many on their words are looked up in the tree
+_LANE = 1 << 14  # decisions whose slopes are summed while they are in the processor's cache
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -103,11 +105,13 @@ class Coder:
         nodes, self.byte_bits, self.byte_off, byte_logit = _huffman(bytes_.tolist())
         self.byte_nodes = nodes + len(logit)
         self.logit = np.concatenate([logit, byte_logit])
-        self.salt = _mixed(np.arange(len(self.logit), dtype=np.uint64) * _MIX)
+        salt = _mixed(np.arange(len(self.logit), dtype=np.uint64) * _MIX)
+        self.salt, self.byte_salt = salt[self.nodes], salt[self.byte_nodes]  # along the paths
 
-    def symbols(self, distinct: pa.LargeBinaryArray) -> np.ndarray:
+    def symbols(self, distinct: pa.LargeBinaryArray | pa.ChunkedArray) -> np.ndarray:
         """Tree symbol of each word; the escape for words outside the tree."""
-        return pc.fill_null(pc.index_in(distinct, value_set=self.vocabulary), self.escape).to_numpy(zero_copy_only=False).astype(np.int64)
+        found = pc.fill_null(pc.index_in(distinct, value_set=self.vocabulary), self.escape)
+        return (found.to_numpy() if isinstance(found, pa.ChunkedArray) else found.to_numpy(zero_copy_only=False)).astype(np.int64)
 
     def word_events(self, symbol: np.ndarray, first: np.ndarray, order: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
         """Decisions of a run of words (``first``: place in its text): word index, node, bit, and three context slots.
@@ -121,7 +125,7 @@ class Coder:
         contexts = (a * _MIX2, (a << np.uint64(20) ^ b) * _MIX2 ^ np.uint64(1), b * _MIX2 ^ np.uint64(2))
         if order is not None:
             symbol, contexts = symbol[order], tuple(c[order] for c in contexts)
-        return self._expand(self.nodes, self.bits, self.off, symbol, contexts)
+        return self._expand(self.nodes, self.bits, self.salt, self.off, symbol, contexts)
 
     def byte_events(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
         """Decisions that spell words, each with its end: word index, node, bit, and three context slots."""
@@ -137,27 +141,55 @@ class Coder:
         two = one << np.uint64(9) ^ last[1]
         three = two << np.uint64(9) ^ last[2]
         contexts = (one * _MIX2 ^ np.uint64(3), two * _MIX2 ^ np.uint64(4), three * _MIX2 ^ np.uint64(5))
-        i, *rest = self._expand(self.byte_nodes, self.byte_bits, self.byte_off, spelled, contexts)
+        i, *rest = self._expand(self.byte_nodes, self.byte_bits, self.byte_salt, self.byte_off, spelled, contexts)
         return word[i], *rest
 
-    def _expand(self, nodes, bits, off, symbol, contexts):
+    def _expand(self, nodes, bits, salts, off, symbol, contexts):
         length = off[symbol + 1] - off[symbol]
         at = ragged(off[symbol], length)
-        node = nodes[at]
-        salt = self.salt[node]
+        salt = salts.take(at)
         # both are well mixed, so the upper bits of their sum are a hash of the two
-        slots = [(np.repeat(_mixed(c), length) + salt) >> np.uint32(32 - self.table_bits) for c in contexts]
-        return np.repeat(np.arange(len(symbol)), length), node, bits[at], *slots
+        slots = [np.repeat(_mixed(c), length) for c in contexts]
+        for slot in slots:
+            slot += salt
+            slot >>= np.uint32(32 - self.table_bits)
+        return np.repeat(np.arange(len(symbol)), length), nodes.take(at), bits.take(at), *slots
 
 
 def _tokens(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, pa.LargeBinaryArray, np.ndarray, int]:
     """Code of each word, the distinct words, and the row of each word."""
     data, off = text_bytes(part.column(text))
-    start, length, row = words(LOWER[data], off)
-    code, distinct = codes(LOWER[data], start, length)
+    _, length, row = words(data, off)
+    data = data[(data != 32) & (data - np.uint8(9) > 4)]  # the words end to end
+    data |= (data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5)  # A-Z lower-cased
+    code, distinct = codes(data, np.cumsum(length) - length, length)
     return code, distinct, row, len(off) - 1
 
 
+def _parts(batches: Iterator[pa.RecordBatch], text: str, coder: "Coder") -> Iterator[tuple[pa.RecordBatch, np.ndarray, pa.LargeBinaryArray, np.ndarray, np.ndarray]]:
+    """Parts of ``_EVENTS`` bytes: the rows, each word's code, the distinct words and their symbols by code, each word's row.
+
+    A lookup hashes the whole tree, so the distinct words of several parts are looked up together.
+    """
+
+    def found(held):
+        symbol = coder.symbols(pa.chunked_array([h[2] for h in held], pa.large_binary()))
+        end = np.cumsum([len(h[2]) for h in held])
+        for (part, code, distinct, row), b in zip(held, end):
+            yield part, code, distinct, symbol[b - len(distinct) : b], row
+
+    held, n = [], 0
+    for part in chunks(batches, text, _EVENTS):
+        code, distinct, row, _ = _tokens(part, text)
+        held.append((part, code, distinct, row))
+        n += part.nbytes + code.nbytes + row.nbytes
+        if n >= _LOOKUP:
+            yield from found(held)
+            held, n = [], 0
+    if held:
+        yield from found(held)
+
+
 def _with_ends(symbol: np.ndarray, row: np.ndarray, rows: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The symbols with each text's end put after its words; their rows and places."""
     count = np.bincount(row, minlength=rows) + 1
@@ -186,17 +218,24 @@ class _Counter:
 
     def add(self, events: tuple[np.ndarray, ...]) -> None:
         _, _, bit, *slots = events
+        bit = bit.astype(np.uint32)
         for row, slot in zip(self.table, slots):
-            np.add.at(row, slot << np.uint32(1) | bit.astype(np.uint32), np.int32(1))
+            at = slot << np.uint32(1)
+            at |= bit
+            at.sort()  # in order, the table is passed through once
+            np.add.at(row, at, np.int32(1))
 
 
 def _table_rows(counter: _Counter) -> Iterator[pa.RecordBatch]:
-    """A task's counts as rows (block, payload), without blocks of zeros."""
+    """A task's counts as rows (block, width, payload), without blocks of zeros; width: bytes of a count."""
     parts = counter.table.reshape(-1, 2 * _SLOTS)
-    full = np.flatnonzero(parts.any(axis=1))
+    most = parts.max(axis=1)
+    full = np.flatnonzero(most)
+    width = np.where(most < 1 << 8, 1, np.where(most < 1 << 16, 2, 4))
     for at in range(0, len(full), 256):
         ids = full[at : at + 256]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([pa.compress(parts[i].tobytes(), "zstd", asbytes=True) for i in ids], pa.binary())], names=["block", "payload"])
+        payload = [pa.compress(parts[i].astype(f"<u{width[i]}").tobytes(), "zstd", asbytes=True) for i in ids]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(width[ids], pa.int32()), pa.array(payload, pa.binary())], names=["block", "width", "payload"])
 
 
 def context_counts(docs: DataFrame, types: DataFrame, coder, text: str = "text") -> DataFrame:
@@ -207,9 +246,8 @@ def context_counts(docs: DataFrame, types: DataFrame, coder, text: str = "text")
     def in_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, table = coder.value, _Counter(coder.value.table_bits)
         end = int(c.symbols(pa.array([END], pa.large_binary()))[0])
-        for part in chunks(batches, text, _EVENTS):
-            code, distinct, row, rows = _tokens(part, text)
-            symbol, _, place = _with_ends(c.symbols(distinct)[code] if len(code) else code, row, rows, end)
+        for part, code, _, known, row in _parts(batches, text, c):
+            symbol, _, place = _with_ends(known[code] if len(code) else code, row, part.num_rows, end)
             table.add(c.word_events(symbol, place))
         yield from _table_rows(table)
 
@@ -226,16 +264,16 @@ def context_counts(docs: DataFrame, types: DataFrame, coder, text: str = "text")
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, payload, half in zip(batch.column("block").to_pylist(), batch.column("payload"), batch.column("half").to_pylist()):
-                n = sums.setdefault(block, np.zeros((2, 2 * _SLOTS), np.int64))
-                n[int(half)] += np.frombuffer(pa.decompress(payload.as_buffer(), 8 * _SLOTS, "zstd"), np.int32)
+            for block, width, payload, half in zip(*(batch.column(x).to_pylist() for x in ("block", "width")), batch.column("payload"), batch.column("half").to_pylist()):
+                n = sums[block] if block in sums else sums.setdefault(block, np.zeros((2, 2 * _SLOTS), np.int64))
+                n[int(half)] += np.frombuffer(pa.decompress(payload.as_buffer(), 2 * width * _SLOTS, "zstd"), f"<u{width}")
         for block, n in sums.items():
             columns = [pa.array([block], pa.int32()), *(pa.array([logits(x)], pa.binary()) for x in (n[0], n[1], n[0] + n[1]))]
             yield pa.RecordBatch.from_arrays(columns, names=["block", "first", "second", "logits"])
 
     def counted(df: DataFrame, column: str, run, half: bool) -> DataFrame:
         own = df.where(F.col("half") == half).select(F.col(f"`{column}`"))
-        return own.mapInArrow(run, "block int, payload binary").withColumn("half", F.lit(half))
+        return own.mapInArrow(run, "block int, width int, payload binary").withColumn("half", F.lit(half))
 
     partial = [counted(df, column, run, half) for df, column, run in ((docs, text, in_texts), (types, "token", in_types)) for half in (False, True)]
     return reduce(DataFrame.unionByName, partial).repartition("block").mapInArrow(total, "block int, first binary, second binary, logits binary")
@@ -251,15 +289,24 @@ class Model:
         self.weights[[0, 8]] = [1, 0, 0, 0]
 
     def _inputs(self, events, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        seen, gate = self._seen(events, kind)
+        return self._floats(events[1], seen), gate
+
+    def _seen(self, events, kind: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """Each context's logits as stored, and the gates."""
         _, node, _, *slots = events
-        x = np.empty((4, len(node)), np.float32)
-        x[0] = self.coder.logit[node]
+        seen = [table.take(slot) for table, slot in zip(self.tables, slots)]
         gate = np.full(len(node), 8 * kind, np.uint8)
-        for k, slot in enumerate(slots):
-            got = self.tables[k][slot]
-            x[k + 1] = got * np.float32(1 / 16)
+        for k, got in enumerate(seen):
             gate += (got != 0).view(np.uint8) << np.uint8(k)
-        return x, gate
+        return seen, gate
+
+    def _floats(self, node: np.ndarray, seen: list[np.ndarray]) -> np.ndarray:
+        x = np.empty((4, len(node)), np.float32)
+        x[0] = self.coder.logit.take(node)
+        for k, got in enumerate(seen):
+            np.multiply(got, np.float32(1 / 16), out=x[k + 1])
+        return x
 
     @staticmethod
     def _log10(logit: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -284,39 +331,51 @@ class Model:
         order = np.argsort(block, kind="stable")
         events = self.coder.word_events(symbol, place, order)
         x, gate = self._inputs(events, 0)
-        text = row[order][events[0]]
-        sign, gate_of = 1 - 2 * events[2].astype(np.float32), text * _GATES + gate
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(block[order][events[0]]))])
+        of = row[order]
+        gate_of = (of * _GATES).take(events[0])
+        gate_of += gate
+        sign = 1 - 2 * events[2].astype(np.float32)
+        ends = np.searchsorted(events[0], np.cumsum(np.bincount(block)))  # a block's words follow those of the block before
         weights = np.tile(self.weights.T, (1, rows))  # of context k, text t and gate g: [k, t * _GATES + g]
-        out = np.zeros(rows)
-        for a, b in zip(cuts, cuts[1:]):
+        cost = np.empty(len(gate), np.float32)
+        for a, b in zip([0, *ends], ends):
             v, y, key = x[:, a:b], sign[a:b], gate_of[a:b]
-            logit = weights[0][key] * v[0]
+            odds = weights[0].take(key)
+            odds *= v[0]
             for k in (1, 2, 3):
-                logit += weights[k][key] * v[k]
-            odds = np.exp((logit * y).clip(-12, 12))  # of the other bit
-            out -= np.bincount(text[a:b], np.log1p(odds), minlength=rows)
-            if b < cuts[-1]:
-                miss = odds / (1 + odds) * y
-                miss *= np.float32(-_RATE)
+                term = weights[k].take(key)
+                term *= v[k]
+                odds += term
+            odds *= y
+            np.exp(odds.clip(-12, 12, out=odds), out=odds)  # of the other bit
+            np.log1p(odds, out=cost[a:b])
+            if b < len(gate):
+                odds /= 1 + odds
+                odds *= y
+                odds *= np.float32(-_RATE)
                 for k in range(4):
-                    np.add.at(weights[k], key, miss * v[k])
-        return out / np.log(10)
+                    np.add.at(weights[k], key, odds * v[k])
+        return np.bincount(of, np.bincount(events[0], cost, minlength=len(of)), minlength=rows) / -np.log(10)
 
     def by_gate(self, events, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs and bits of the decisions sorted by gate, and where each gate's begin."""
-        x, gate = self._inputs(events, kind)
+        seen, gate = self._seen(events, kind)
         order = np.argsort(gate, kind="stable")
-        return x[:, order], events[2][order].astype(np.float32), np.concatenate([[0], np.cumsum(np.bincount(gate, minlength=_GATES))])
+        x = self._floats(events[1].take(order), [got.take(order) for got in seen])  # bytes are put in order, not floats
+        return x, events[2].take(order).astype(np.float32), np.concatenate([[0], np.cumsum(np.bincount(gate, minlength=_GATES))])
 
     def slopes(self, x: np.ndarray, y: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """By gate: the curvature H of the log likelihood at the present weights w, and H w + its gradient."""
         curve, pull = np.zeros((_GATES, 4, 4)), np.zeros((_GATES, 4))
         for g in np.flatnonzero(np.diff(cuts)):
-            v, w = x[:, cuts[g] : cuts[g + 1]], self.weights[g]
-            p = 1 / (1 + np.exp(-(w @ v).clip(-12, 12)))
-            curve[g] = (v * (p * (1 - p))) @ v.T
-            pull[g] = curve[g] @ w + v @ (y[cuts[g] : cuts[g + 1]] - p)
+            w = self.weights[g]
+            for a in range(cuts[g], cuts[g + 1], _LANE):
+                b = min(a + _LANE, cuts[g + 1])
+                v = x[:, a:b]
+                p = 1 / (1 + np.exp(-(w @ v).clip(-12, 12)))
+                curve[g] += (v * (p * (1 - p))) @ v.T
+                pull[g] += v @ (y[a:b] - p)
+            pull[g] += curve[g] @ w
         return curve, pull
 
     def solved(self, curve: np.ndarray, pull: np.ndarray) -> np.ndarray:
@@ -337,13 +396,16 @@ def _fit_weights(docs: DataFrame, types: DataFrame, models, text: str) -> np.nda
             m = Model(start.coder, start.tables)
             end = int(m.coder.symbols(pa.array([END], pa.large_binary()))[0])
             total = None
-            for part in chunks(batches, column, _EVENTS):
-                if kind:
-                    events = m.coder.byte_events(*binary_parts(part.column("token").cast(pa.large_binary())))
-                else:
-                    code, distinct, row, rows = _tokens(part, column)
-                    symbol, _, place = _with_ends(m.coder.symbols(distinct)[code] if len(code) else code, row, rows, end)
-                    events = m.coder.word_events(symbol, place)
+            def in_texts():
+                for part, code, _, known, row in _parts(batches, column, m.coder):
+                    symbol, _, place = _with_ends(known[code] if len(code) else code, row, part.num_rows, end)
+                    yield m.coder.word_events(symbol, place)
+
+            def in_types():
+                for part in chunks(batches, column, _EVENTS):
+                    yield m.coder.byte_events(*binary_parts(part.column(column).cast(pa.large_binary())))
+
+            for events in in_types() if kind else in_texts():
                 if not len(events[1]):
                     continue
                 sorted_ = m.by_gate(events, kind)
@@ -438,9 +500,8 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", fo
         c = m.coder
         base = np.append(np.log10(c.counts + 0.1) - divisor, 0.0)
         stop = int(c.symbols(pa.array([END], pa.large_binary()))[0])
-        for part in chunks(batches, "text", _EVENTS):
-            code, distinct, row, rows = _tokens(part, "text")
-            known = c.symbols(distinct)
+        for part, code, distinct, known, row in _parts(batches, "text", c):
+            rows = part.num_rows
             symbol, text_row, place = _with_ends(known[code] if len(code) else code, row, rows, stop)
             score = m.score(symbol, text_row, place, rows)
             of_row = lambda x: np.bincount(text_row, x, minlength=rows)

@@ -64,3 +64,37 @@ def test_one_lookup_for_each_pair_of_neighbours(spark):
             x, y = sorted((top(a), top(b)))
             up[y] = x
     assert {f: got.get(f, f) for f in fps} == {f: top(f) for f in fps}
+
+
+def test_words_of_several_parts_are_looked_up_at_once(monkeypatch):
+    monkeypatch.setattr(lm, "_EVENTS", 40)
+    texts = ["One two  THREE\tone", None, "", "Ärger ä Z" * 20, " \x0b\x0c ", *(f"w{i} W{i} x\x00y" for i in range(60))]
+    coder = lm.Coder([(lm.END, 5), (b"one", 4), (b"w7", 3)], 2, bits=8)
+    calls, symbols = [], coder.symbols
+    coder.symbols = lambda distinct: calls.append(len(distinct)) or symbols(distinct)
+    batches = [pa.record_batch([pa.array(texts[a:b], pa.string())], names=["text"]) for a, b in ((0, 9), (9, 9), (9, 65))]
+    got, at, parts = [], 0, 0
+    for part, code, distinct, known, row in lm._parts(iter(batches), "text", coder):
+        got += [(at + r, distinct[c].as_py(), k) for r, c, k in zip(row.tolist(), code.tolist(), known[code].tolist())]
+        at, parts = at + part.num_rows, parts + 1
+    lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+    own = {b"one": 1, b"w7": 2}
+    assert got == [(i, w, own.get(w, 3)) for i, t in enumerate(texts) for w in (t or "").encode().translate(lower).split()]
+    assert at == len(texts) and parts > 15 and len(calls) == 1  # before: a lookup in the whole tree for each part
+    monkeypatch.setattr(lm, "_LOOKUP", 10)
+    assert len(list(lm._parts(iter(batches), "text", coder))) == parts and len(calls) > 10
+
+
+def test_counts_are_sent_in_as_few_bytes_as_they_need():
+    counter = lm._Counter(13)
+    want = np.zeros_like(counter.table)
+    for k, slot, n in ((0, 5, 255), (1, 9, 256), (1, 9, 65_279), (2, 8_000, 65_536)):
+        counter.add((None, None, np.ones(n, np.int8), *(np.full(n, slot if j == k else 8_191 - j, np.uint32) for j in range(3))))
+        for j in range(3):
+            want[j, 2 * (slot if j == k else 8_191 - j) + 1] += n
+    got, widths = np.zeros((counter.table.size // (2 * lm._SLOTS), 2 * lm._SLOTS), np.int64), set()
+    for batch in lm._table_rows(counter):
+        for r in batch.to_pylist():
+            widths.add(r["width"])
+            got[r["block"]] += np.frombuffer(pa.decompress(r["payload"], 2 * r["width"] * lm._SLOTS, "zstd", asbytes=True), f"<u{r['width']}")
+    assert (got.ravel() == want.ravel()).all() and widths == {1, 2, 4}  # before: four bytes always
